@@ -121,11 +121,11 @@ def at_most_once_ledger(spark, sf):
 @query(
     """WITH RECURSIVE l AS (SELECT CAST(user_id % 4 AS INT) AS part_id, event_type, ROW_NUMBER() OVER (PARTITION BY user_id % 4 ORDER BY ts, event_id) - 1 AS o FROM events),
 v AS (SELECT part_id, o, LEAD(o) OVER (PARTITION BY part_id ORDER BY o) AS succ FROM l WHERE event_type = 'error'),
-n AS (SELECT a.part_id, a.o, CASE WHEN a.succ <= a.o + 4 THEN a.succ ELSE b.o END AS nxt FROM v a ASOF LEFT JOIN v b ON a.part_id = b.part_id AND a.o + 6 <= b.o),
+n AS (SELECT part_id, o, CASE WHEN succ <= o + 4 THEN succ ELSE (SELECT MIN(b.o) FROM v b WHERE b.part_id = a.part_id AND b.o >= a.o + 6) END AS nxt FROM v a),
 h(part_id, o, prev) AS (SELECT part_id, MIN(o), CAST(NULL AS BIGINT) FROM v GROUP BY part_id
- UNION ALL SELECT n.part_id, n.nxt, n.o FROM h JOIN n ON n.part_id = h.part_id AND n.o = h.o WHERE n.nxt IS NOT NULL)
-SELECT v.part_id, v.o AS log_offset, CASE WHEN h.o <> v.o THEN 'none' WHEN h.prev IS NULL OR v.o >= h.prev + 6 THEN 'sync' ELSE 'async' END AS kind, h.o + 6 AS committed
-FROM v ASOF JOIN h ON v.part_id = h.part_id AND v.o >= h.o"""
+ UNION ALL SELECT n.part_id, n.nxt, n.o FROM h JOIN n ON n.part_id = h.part_id AND n.o = h.o WHERE n.nxt IS NOT NULL),
+j AS (SELECT v.part_id, v.o, h.o AS hit, h.prev, MAX(h.o) OVER (PARTITION BY v.part_id ORDER BY v.o) AS last_hit FROM v LEFT JOIN h ON v.part_id = h.part_id AND v.o = h.o)
+SELECT part_id, o AS log_offset, CASE WHEN hit IS NULL THEN 'none' WHEN prev IS NULL OR o >= prev + 6 THEN 'sync' ELSE 'async' END AS kind, last_hit + 6 AS committed FROM j"""
 )
 def at_most_once_gaps(spark, sf):
     """A reader that is only delivered error events: offsets have gaps."""

@@ -201,7 +201,7 @@ def txn_count_window(spark, sf):
     return transactions.count_windows(fx.requests(spark, sf), 100).select("sender_id", "seq", "txn_no")
 
 
-_ANCHORED = """WITH RECURSIVE q AS (SELECT CAST(user_id % 4 AS INT) AS sender_id, event_id AS seq, epoch_ms(ts) AS ms FROM events),
+_ANCHORED = """WITH RECURSIVE q AS (SELECT CAST(user_id % 4 AS INT) AS sender_id, event_id AS seq, epoch_us(ts) // 1000 AS ms FROM events),
 w(sender_id, txn_no, start_ms, close_ms) AS (
  SELECT f.sender_id, CAST(0 AS BIGINT), f.s, (SELECT MIN(ms) FROM q WHERE q.sender_id = f.sender_id AND q.ms >= f.s + {d}) FROM (SELECT sender_id, MIN(ms) AS s FROM q GROUP BY sender_id) f
  UNION ALL

@@ -25,7 +25,7 @@ R = """r AS (SELECT event_type AS sender_id, event_id AS seq, user_id, ts, value
 
 #: completed sends
 S = """s AS (SELECT CAST(user_id % 4 AS INT) AS sender_id, event_id AS seq, event_type,
- epoch_ms(ts) - CAST(ROUND(value) AS INT) AS start_ms, epoch_ms(ts) AS end_ms,
+ epoch_us(ts) // 1000 - CAST(ROUND(value) AS INT) AS start_ms, epoch_us(ts) // 1000 AS end_ms,
  CAST(ROUND(value) AS BIGINT) AS latency, strlen(props) AS bytes FROM events)"""
 
 
