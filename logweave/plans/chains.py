@@ -77,6 +77,41 @@ def replay(values: np.ndarray, entry: int | None, near: int, far: int) -> np.nda
     return hit
 
 
+def _by_block(batches: Iterator[pd.DataFrame], names: list[str], fn) -> Iterator[pd.DataFrame]:
+    """Call ``fn(columns)`` for each run of equal ``names`` in sorted batches; one frame per batch.
+
+    ``columns`` maps names to arrays of one whole block. Only the block that a batch leaves
+    unfinished is kept for the next one.
+    """
+    held = None
+    for pdf in batches:
+        if held is not None:
+            pdf = pd.concat([held, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        starts = _run_starts(pdf, names)
+        held = pdf.iloc[starts[-1] :]
+        if len(starts) > 1:
+            yield _apply_runs(pdf.iloc[: starts[-1]], starts, fn)
+    if held is not None:
+        yield _apply_runs(held, np.array([0, len(held)]), fn)
+
+
+def _run_starts(pdf: pd.DataFrame, names: list[str]) -> np.ndarray:
+    changed = np.zeros(len(pdf), dtype=bool)
+    changed[0] = True
+    for name in names:
+        column = pdf[name].to_numpy()
+        changed[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(changed)
+
+
+def _apply_runs(pdf: pd.DataFrame, starts: np.ndarray, fn) -> pd.DataFrame:
+    columns = {name: pdf[name].to_numpy() for name in pdf.columns}
+    parts = [fn({n: c[i:j] for n, c in columns.items()}) for i, j in zip(starts[:-1], starts[1:])]
+    return pd.DataFrame({n: np.concatenate([part[n] for part in parts]) for n in parts[0]})
+
+
 def hits(
     nodes: DataFrame,
     by: Sequence[str],
@@ -91,7 +126,7 @@ def hits(
     ``nodes`` has one row per distinct ``(by, value)`` with an integer value. ``first_hits``:
     the first value is itself a hit; otherwise it only anchors the chain. ``carry`` (``by``,
     ``after``) continues from an earlier anchor. Returns ``by``, ``value``, ``is_hit``,
-    ``hits_before`` and ``last_hit`` (the latest hit before this value, or null).
+    ``hits_before`` and ``last_hit`` (the latest hit or anchor before this value, or null).
     """
     spark = nodes.sparkSession
     ship_package(spark)
@@ -99,20 +134,22 @@ def hits(
     length = block_length(spark, far)
     blocked = nodes.select(*by, F.col(value).cast("long").alias("__v")).withColumn("__block", div(F.col("__v"), length))
     keys = [f for f in blocked.schema.fields if f.name in by]
-
-    def to_map(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__v")
-        block = int(pdf["__block"].iloc[0])
-        entries, last, count = block_map(pdf["__v"].to_numpy(), block * length, near, far)
-        out = pd.DataFrame({"__block": block, "__entry": entries, "__last": last, "__count": count})
-        for name in by:
-            out.insert(0, name, pdf[name].iloc[0])
-        return out
-
-    map_schema = T.StructType(
-        [*keys, *[T.StructField(n, T.LongType()) for n in ("__block", "__entry", "__last", "__count")]]
+    names = [*by, "__block"]
+    longs = lambda *columns: [T.StructField(c, T.LongType()) for c in columns]
+
+    def to_map(block: dict) -> dict:
+        entries, last, count = block_map(block["__v"], int(block["__block"][0]) * length, near, far)
+        head = {name: np.repeat(block[name][:1], len(entries)) for name in names}
+        return head | {"__entry": entries, "__last": last, "__count": count}
+
+    maps = (
+        blocked.repartition(*names)
+        .sortWithinPartitions(*names, "__v")
+        .mapInPandas(
+            lambda batches: _by_block(batches, names, to_map),
+            T.StructType([*keys, *longs("__block", "__entry", "__last", "__count")]),
+        )
     )
-    maps = blocked.groupBy(*by, "__block").applyInPandas(to_map, map_schema)
     if carry is None:
         maps = maps.withColumn("__after", F.lit(None).cast("long"))
     else:
@@ -122,19 +159,21 @@ def hits(
         group = block = after = None
         seen, open_block = 0, False
         for pdf in batches:
-            found = []
-            names = [*by, "__block"]
-            starts = np.flatnonzero((pdf[names] != pdf[names].shift()).any(axis=1).to_numpy())
-            for start, end in zip(starts, [*starts[1:], len(pdf)]):
-                head = tuple(pdf[n].iloc[start] for n in names)
-                entry = pdf["__entry"].to_numpy()[start:end]
+            found: list[tuple] = []
+            if not len(pdf):
+                continue
+            starts = _run_starts(pdf, names)
+            heads = list(zip(*[pdf[n].iloc[starts].tolist() for n in names]))
+            given = pdf["__after"].iloc[starts].tolist()
+            entries, lasts, counts = (pdf[n].to_numpy() for n in ("__entry", "__last", "__count"))
+            for head, initial, start, end in zip(heads, given, starts, [*starts[1:], len(pdf)]):
+                entry = entries[start:end]
                 fresh = (group, block) != (head[:-1], head[-1])
                 if fresh:
                     if open_block:
                         found.append((*group, block, None, after, seen))
                     if head[:-1] != group:
-                        given = pdf["__after"].iloc[start]
-                        after, seen = (None if pd.isna(given) else int(given)), 0
+                        after, seen = (None if pd.isna(initial) else int(initial)), 0
                         if after is None and not first_hits:
                             after = int(entry[0])
                     group, block, open_block = head[:-1], head[-1], True
@@ -146,45 +185,38 @@ def hits(
                     i = int(np.searchsorted(entry, after + far, side="left"))
                 if i < len(entry):
                     found.append((*group, block, int(entry[i]), after, seen))
-                    after = int(pdf["__last"].iloc[start + i])
-                    seen += int(pdf["__count"].iloc[start + i])
+                    after = int(lasts[start + i])
+                    seen += int(counts[start + i])
                     open_block = False
             yield frame(found)
         if open_block:
             yield frame([(*group, block, None, after, seen)])
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=[*by, "__block", "__entry", "__after", "__seen"])
+        out = pd.DataFrame(rows, columns=[*names, "__entry", "__after", "__seen"])
         return out.astype({"__entry": "Int64", "__after": "Int64"})
 
-    walk_schema = T.StructType(
-        [*keys, *[T.StructField(n, T.LongType()) for n in ("__block", "__entry", "__after", "__seen")]]
+    entries = (
+        maps.repartition(*by)
+        .sortWithinPartitions(*names, "__entry")
+        .mapInPandas(walk, T.StructType([*keys, *longs("__block", "__entry", "__after", "__seen")]))
     )
-    ordered = maps.repartition(*by) if by else maps.repartition(1)
-    entries = ordered.sortWithinPartitions(*by, "__block", "__entry").mapInPandas(walk, walk_schema)
 
-    def play(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__v")
-        values = pdf["__v"].to_numpy()
-        entry, after = pdf["__entry"].iloc[0], pdf["__after"].iloc[0]
+    def play(block: dict) -> dict:
+        values, entry, after = block["__v"], block["__entry"][0], block["__after"][0]
         hit = replay(values, None if pd.isna(entry) else int(entry), near, far)
-        before = np.concatenate([[0], np.cumsum(hit)[:-1]]) + int(pdf["__seen"].iloc[0])
-        last = pd.Series(values, dtype="Int64").where(hit).shift(1).ffill()
-        if not pd.isna(after):
-            last = last.fillna(int(after))
-        out = pd.DataFrame({value: values, "is_hit": hit, "hits_before": before, "last_hit": last})
-        for name in by:
-            out.insert(0, name, pdf[name].iloc[0])
-        return out
-
-    out_schema = T.StructType(
-        [
-            *keys,
-            T.StructField(value, T.LongType()),
-            T.StructField("is_hit", T.BooleanType()),
-            T.StructField("hits_before", T.LongType()),
-            T.StructField("last_hit", T.LongType()),
-        ]
+        done = np.cumsum(hit) - hit
+        # index of the latest hit before each value, -1 for none inside this block
+        at = np.maximum.accumulate(np.concatenate([[-1], np.where(hit, np.arange(len(hit)), -1)[:-1]]))
+        last = np.where(at >= 0, values[at], np.nan if pd.isna(after) else after)
+        head = {name: block[name] for name in by}
+        return head | {value: values, "is_hit": hit, "hits_before": done + block["__seen"], "last_hit": last}
+
+    state = entries.select(*names, "__entry", "__after", "__seen")
+    schema = T.StructType([*keys, *longs(value), T.StructField("is_hit", T.BooleanType()), *longs("hits_before", "last_hit")])
+    return (
+        blocked.join(state, names, "left")
+        .repartition(*names)
+        .sortWithinPartitions(*names, "__v")
+        .mapInPandas(lambda batches: _by_block(batches, names, play), schema)
     )
-    on = [*by, "__block"]
-    return blocked.join(entries, on, "left").groupBy(*on).applyInPandas(play, out_schema)
