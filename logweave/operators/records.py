@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from logweave.plans.ordered import div, positions, previous
 from logweave.plans.small import attach
 from logweave.schema import TP
-from logweave.session import slice_width
+from logweave.session import ship_package, slice_width
 
 #: Above this a per-group row limit is not pushed below the shuffle by Spark.
 LIMIT_PUSHED = 1000
@@ -86,6 +86,7 @@ def process_by_partition(
     ``combine`` - so slices of a hot partition run in parallel and no task holds a partition.
     Both return plain JSON values; without them the state is always ``initial``.
     """
+    ship_package(log.sparkSession)
     width = slice_width(log.sparkSession)
     sliced = log.withColumn("__slice", div(F.col("offset"), width))
     keys = [*TP, "__slice"]

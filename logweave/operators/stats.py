@@ -143,13 +143,13 @@ def latency_summary(sent: DataFrame, received: DataFrame, on: str, by: Sequence[
     """End-to-end latency of ``sent(on, sent_ms)`` and ``received(on, received_ms)``:
     message count, average and nearest-rank percentiles."""
     joined = sent.join(received, on).withColumn("latency_ms", F.col("received_ms") - F.col("sent_ms"))
-    groups = list(by) or ["__all"]
+    groups = list(by) or ["__run"]
     if not by:
-        joined = joined.withColumn("__all", F.lit(0))
+        joined = joined.withColumn("__run", F.lit(0))
     mean = joined.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("messages"), (F.sum("latency_ms") / F.count(F.lit(1))).alias("avg_latency_ms")
     )
-    return mean.join(nearest_rank(joined, "latency_ms", LATENCY_PERCENTILES, groups), groups).drop("__all")
+    return mean.join(nearest_rank(joined, "latency_ms", LATENCY_PERCENTILES, groups), groups).drop("__run")
 
 
 def integrity_check(sent: DataFrame, received: DataFrame, on: str, payload: str) -> DataFrame:

@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from workload import delivery, scans, sending  # noqa: F401
+from workload import delivery, flows, measures, scans, sending  # noqa: F401
