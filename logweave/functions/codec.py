@@ -16,13 +16,17 @@ Layout = list[tuple[str, str]]
 
 
 def int_to_bytes(n: Column) -> Column:
-    return F.unhex(F.right(F.lpad(F.hex(n.cast("long")), 8, "0"), F.lit(8)))
+    return F.unhex(F.right(F.concat(F.lit("0000000"), F.hex(n.cast("long"))), F.lit(8)))
+
+
+def _unsigned(data: Column) -> Column:
+    return F.conv(F.hex(data), 16, 10).cast("long")
 
 
 def bytes_to_int(data: Column) -> Column:
     """Signed value of 4 big-endian bytes; null unless there are exactly 4."""
-    unsigned = F.conv(F.hex(data), 16, 10).cast("long")
-    signed = F.when(unsigned >= (1 << 31), unsigned - (1 << 32)).otherwise(unsigned)
+    half = 1 << 31
+    signed = F.pmod(_unsigned(data) + half, F.lit(1 << 32)) - half
     return F.when(F.octet_length(data) == 4, signed).cast("int")
 
 
@@ -50,26 +54,41 @@ def encode_layout(values: dict[str, Column], layout: Layout) -> Column:
     return F.concat(*parts)
 
 
-def decode_layout(df: DataFrame, value: str, layout: Layout, ok: str = "decoded_ok") -> DataFrame:
-    """``df`` plus the fields of ``layout`` and a flag; the fields of a broken value are null.
+def split_layout(value: Column, layout: Layout) -> Column:
+    """The bytes of each field as an array; null if the value ends before the last field does.
 
-    Each field starts where the previous one ended, so positions are helper columns rather than
-    one deeply nested expression. Bytes after the last field are ignored.
+    A fold over the fields, because each one starts where the one before it ended. A length is
+    read without sign: a negative one is then too long for any value.
     """
-    out = df.withColumns({"__at": F.lit(1), "__ok": F.col(value).isNotNull()})
-    size, at = F.octet_length(value), F.col("__at")
-    for name, kind in layout:
-        out = out.withColumn("__int", bytes_to_int(F.substring(value, at, F.lit(4))))
-        if kind == "int":
-            out = out.withColumns({name: F.col("__int"), "__at": at + 4, "__ok": F.col("__ok") & F.col("__int").isNotNull()})
-            continue
-        data = F.substring(F.col(value), at + 4, F.col("__int"))
-        fits = F.col("__int").isNotNull() & (F.col("__int") >= 0) & (F.lit(0).cast("long") + at + 3 + F.col("__int") <= size)
-        text = bytes_to_text(data)
-        if kind == "string_or_null":
-            text = F.nullif(text, F.lit(""))
-        good = F.col("__ok") & F.coalesce(fits, F.lit(False))
-        out = out.withColumns({name: F.when(good, text), "__at": F.when(good, at + 4 + F.col("__int")), "__ok": good})
-    done = F.coalesce(F.col("__ok"), F.lit(False))
-    out = out.withColumns({name: F.when(done, F.col(name)) for name, _ in layout} | {ok: done})
-    return out.drop("__at", "__ok", "__int")
+    total = F.octet_length(value)
+
+    def step(state: Column, prefixed: Column) -> Column:
+        at = state["at"]
+        start = F.when(prefixed, at + 4).otherwise(at)
+        size = F.when(prefixed, _unsigned(F.substring(value, at, F.lit(4)))).otherwise(F.lit(4).cast("long"))
+        part = F.substring(value, start, size.cast("int"))
+        end = start + size
+        fits = state["fits"] & F.coalesce(end <= total + 1, F.lit(False))
+        return F.struct(
+            F.when(fits, end).otherwise(at).cast("int").alias("at"),
+            fits.alias("fits"),
+            F.when(fits, F.concat(state["parts"], F.array(part))).otherwise(state["parts"]).alias("parts"),
+        )
+
+    begin = F.struct(
+        F.lit(1).alias("at"), value.isNotNull().alias("fits"), F.array().cast("array<binary>").alias("parts")
+    )
+    kinds = F.array(*[F.lit(kind != "int") for _, kind in layout])
+    return F.aggregate(kinds, begin, step, lambda state: F.when(state["fits"], state["parts"]))
+
+
+def decode_layout(df: DataFrame, value: str, layout: Layout, ok: str = "decoded_ok") -> DataFrame:
+    """``df`` plus the fields of ``layout`` and a flag; the fields of a broken value are null.
+    Bytes after the last field are ignored."""
+    fields = {}
+    for i, (name, kind) in enumerate(layout):
+        part = F.get(F.col("__parts"), F.lit(i))
+        field = bytes_to_int(part) if kind == "int" else bytes_to_text(part)
+        fields[name] = F.nullif(field, F.lit("")) if kind == "string_or_null" else field
+    split = df.withColumn("__parts", split_layout(F.col(value), layout))
+    return split.withColumns(fields | {ok: F.col("__parts").isNotNull()}).drop("__parts")

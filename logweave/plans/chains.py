@@ -8,8 +8,8 @@ the first value in ``(v, v + near]`` if there is one, else the first value ``>=
 A serial fold would put one sender or partition into one task. Here the values are cut into
 blocks of bounded length:
 
-    1. every block turns each *possible* entry (a value within ``far`` of the block start, or
-       the first one after that) into the last hit it leads to and the number of hits;
+    1. every block turns each *possible* entry (a value within ``far`` of its first one, or the
+       next one after those) into the last hit it leads to and the number of hits;
     2. one pass per group walks those block maps, reading them as a stream, and fixes the real
        entry of each block - it sees candidates, never records;
     3. every block replays its own chain from its real entry.
@@ -48,8 +48,12 @@ def next_hits(values: np.ndarray, near: int, far: int) -> np.ndarray:
     return nxt
 
 
-def block_map(values: np.ndarray, start: int, near: int, far: int):
-    """(entries, last hits, hit counts) for every possible entry of one block."""
+def block_map(values: np.ndarray, near: int, far: int):
+    """(entries, last hits, hit counts) for every possible entry of one block.
+
+    The last hit or anchor before the entry is not later than the first value, so the entry is
+    within ``far`` of that value or the first one beyond.
+    """
     n = len(values)
     jump = next_hits(values, near, far)
     last = np.arange(n)
@@ -60,7 +64,7 @@ def block_map(values: np.ndarray, start: int, near: int, far: int):
         new_last, new_count, new_jump = last[target], count[live] + count[target], jump[target]
         last[live], count[live], jump[live] = new_last, new_count, new_jump
         live = live[new_jump < n]
-    entries = min(int(np.searchsorted(values, start + far, side="left")) + 1, n)
+    entries = min(int(np.searchsorted(values, values[0] + far, side="left")) + 1, n)
     return values[:entries], values[last[:entries]], count[:entries]
 
 
@@ -138,7 +142,7 @@ def hits(
     longs = lambda *columns: [T.StructField(c, T.LongType()) for c in columns]
 
     def to_map(block: dict) -> dict:
-        entries, last, count = block_map(block["__v"], int(block["__block"][0]) * length, near, far)
+        entries, last, count = block_map(block["__v"], near, far)
         head = {name: np.repeat(block[name][:1], len(entries)) for name in names}
         return head | {"__entry": entries, "__last": last, "__count": count}
 

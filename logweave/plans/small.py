@@ -31,6 +31,13 @@ def local(df: DataFrame, table: pa.Table) -> DataFrame:
     return F.broadcast(rows)
 
 
+def settle(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """``df`` evaluated once and kept as a local relation if it is small, else ``df`` itself.
+    For per-partition results that a plan refers to several times."""
+    table = bounded(df, max_rows)
+    return df if table is None else df.sparkSession.createDataFrame(table.to_pylist(), df.schema)
+
+
 def attach(
     big: DataFrame,
     small: DataFrame,

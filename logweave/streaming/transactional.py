@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from logweave.operators.send import assign_offsets, to_entries
 from logweave.plans.ordered import div
+from logweave.plans.small import settle
 from logweave.schema import LOG, LOG_COLUMNS, TP
 from logweave.session import slice_width
 from logweave.sources import isolation
@@ -61,21 +62,26 @@ class TxnSink:
         self.commit(batch_id)
 
     def write_data(self, requests: DataFrame, batch_id: int, order: Sequence[str]) -> None:
-        control = requests.groupBy(*TP).agg(
-            F.max_by(F.struct(*order), F.struct(*order)).alias("__last"), F.max("timestamp").alias("timestamp")
+        here = F.struct(*order)
+        touched = settle(
+            requests.groupBy(*TP).agg(
+                F.max(here).alias("last"), F.max("timestamp").alias("timestamp"), F.count(F.lit(1)).alias("records")
+            )
+        )
+        control = touched.select(
+            *TP, "timestamp", "last.*", F.lit(True).alias("is_control"), F.lit(None).cast("string").alias("error")
         )
-        control = control.select(*TP, "timestamp", "__last.*", F.lit(True).alias("is_control"), F.lit(None).cast("string").alias("error"))
         both = requests.withColumn("is_control", F.lit(False)).unionByName(control, allowMissingColumns=True)
         slices = [div(F.col(order[0]).cast("long"), slice_width(self.spark))]
         before = previous(self.spark, f"{self.path}/ends", batch_id) if batch_id else self._first_ends
         entries = to_entries(assign_offsets(both, before, (*order, "is_control"), slices))
         data = f"{self.path}/data/txn_id={self.txn_id(batch_id)}"
         entries.drop("txn_id").sortWithinPartitions(*TP, "offset").write.mode("overwrite").partitionBy(*TP).parquet(data)
-        now = (
-            self.spark.read.schema(LOG).parquet(data).groupBy(*TP).agg((F.max("offset") + 1).alias("end_offset"))
-        )
-        both_ends = now if before is None else before.select(*TP, "end_offset").unionByName(now)
-        overwrite(both_ends.groupBy(*TP).agg(F.max("end_offset").alias("end_offset")), f"{self.path}/ends", batch_id)
+        grown = touched.select(*TP, (F.col("records") + 1).alias("end_offset"))
+        if before is not None:
+            grown = before.select(*TP, "end_offset").unionByName(grown)
+        ends = grown.groupBy(*TP).agg(F.sum("end_offset").alias("end_offset"))
+        overwrite(ends, f"{self.path}/ends", batch_id)
 
     def send_offsets(self, offsets: DataFrame | None, batch_id: int) -> None:
         if offsets is not None:

@@ -48,9 +48,7 @@ FROM k JOIN t USING (member_id) GROUP BY member_id, no, part_id"""
 )
 def commit_each(spark, sf):
     """Members commit by hand after each record that took longer than 150."""
-    calls = fx.acks(spark, sf).join(
-        fx.deliveries(spark, sf).select(*TP, "offset", (F.col("value") > 150).alias("commit")), [*TP, "offset"]
-    )
+    calls = fx.acks(spark, sf, (F.col("value") > 150).alias("commit"))
     return fx.plain(commits.commit_each(calls).drop("topic"))
 
 

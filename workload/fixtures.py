@@ -135,13 +135,13 @@ def deliveries(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def acks(spark: SparkSession, sf: str) -> DataFrame:
+def acks(spark: SparkSession, sf: str, *extra) -> DataFrame:
     """Acknowledgements in a shuffled order (a permutation inside runs of 10007 ids)."""
     shuffled = div(F.col("id"), 10007) * 10007 + F.pmod(F.col("id") * 7919, F.lit(10007))
     return (
         deliveries(spark, sf)
         .where(F.col("value") <= ACK_LIMIT)
-        .select(member().alias("member_id"), *TP, "offset", shuffled.alias("ack_seq"), F.col("timestamp").alias("ack_time"))
+        .select(member().alias("member_id"), *TP, "offset", shuffled.alias("ack_seq"), F.col("timestamp").alias("ack_time"), *extra)
     )
 
 

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from logweave.functions.routing import route_integer_key, send_time
 from logweave.operators import send, transactions
 from logweave.schema import TP
+from logweave.session import new_dir
 from logweave.sources import isolation
 from logweave.sources.catalog import topic_bounds
+from logweave.sources.topic_log import TopicLog
 from workload import fixtures as fx
 from workload import query
 from workload.sql import R
@@ -187,6 +189,9 @@ SELECT part_id, COUNT(*) FILTER (state = 'committed' AND NOT is_control) AS visi
 def send_transactional(spark, sf):
     """What readers see of a transactional send: markers take up offsets, aborted data stays hidden."""
     entries, markers = transactions.send_transactional(_transactional(spark, sf))
+    log = TopicLog(spark, new_dir(spark, "transactional"))
+    log.append(entries)
+    entries = log.read(topics=["dest"])
     ends = entries.groupBy(*TP).agg(
         (F.max("offset") + 1).alias("end_offset"), F.count_if("is_control").alias("markers")
     )
