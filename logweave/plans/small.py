@@ -25,17 +25,21 @@ def bounded(df: DataFrame, max_rows: int = MAX_ROWS) -> pa.Table | None:
     return table
 
 
+def relation(df: DataFrame, table: pa.Table) -> DataFrame:
+    """The rows of ``table`` as a relation with the schema of ``df``; from Arrow data, so Spark
+    holds it in the plan instead of running a job for it."""
+    return df.sparkSession.createDataFrame(table, df.schema)
+
+
 def local(df: DataFrame, table: pa.Table) -> DataFrame:
-    """A broadcastable relation with the schema of ``df`` and the rows of ``table``."""
-    rows = df.sparkSession.createDataFrame(table.to_pylist(), df.schema)
-    return F.broadcast(rows)
+    return F.broadcast(relation(df, table))
 
 
 def settle(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """``df`` evaluated once and kept as a local relation if it is small, else ``df`` itself.
     For per-partition results that a plan refers to several times."""
     table = bounded(df, max_rows)
-    return df if table is None else df.sparkSession.createDataFrame(table.to_pylist(), df.schema)
+    return df if table is None else relation(df, table)
 
 
 def attach(

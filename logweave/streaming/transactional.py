@@ -88,8 +88,8 @@ class TxnSink:
             overwrite(offsets.select(*TP, "commit_offset"), f"{self.path}/offsets", batch_id)
 
     def _marker(self, batch_id: int, state: str) -> None:
-        row = self.spark.createDataFrame([(self.txn_id(batch_id), state)], "txn_id string, state string")
-        overwrite(row.coalesce(1), f"{self.path}/txns", batch_id)
+        row = self.spark.range(0, 1, 1, 1).select(F.lit(self.txn_id(batch_id)).alias("txn_id"), F.lit(state).alias("state"))
+        overwrite(row, f"{self.path}/txns", batch_id)
         if self.on_complete is not None:
             self.on_complete(batch_id, state == "committed")
 
