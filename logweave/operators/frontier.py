@@ -27,11 +27,12 @@ def commit_frontier(marked: DataFrame, revoked: DataFrame | None = None) -> Data
     """Per partition of ``marked(topic, partition, offset, acked)``: the commit offset (null =
     nothing to commit) and the number of deferred acks. ``revoked(topic, partition)`` drop out.
 
-    Two aggregates with map-side combine; the first one yields one row per partition.
+    Two aggregates with map-side combine. The first one reads only unacknowledged records and
+    yields one row per partition.
     """
     if revoked is not None:
         marked = attach(marked, revoked.select(*TP).distinct(), TP, "left_anti")
-    gaps = marked.groupBy(*TP).agg(F.min(F.when(~F.col("acked"), F.col("offset"))).alias("__gap"))
+    gaps = marked.where(~F.col("acked")).groupBy(*TP).agg(F.min("offset").alias("__gap"))
     ready = F.col("acked") & (F.col("__gap").isNull() | (F.col("offset") < F.col("__gap")))
     return (
         attach(marked, gaps, TP)
