@@ -96,11 +96,14 @@ def commit_each(calls: DataFrame) -> DataFrame:
 def poll_batches(log: DataFrame, n: int, member: Column) -> DataFrame:
     """``batch_id``: the records of a member in polls of ``n``, by offset, then partition.
 
-    A slice of offsets holds one record per partition and offset, so its size is bounded by
-    the slice width times the partitions of the member.
+    A run of offsets holds one record per partition and offset. Slices are narrower by the
+    number of partitions, so that one of them stays within the slice width.
     """
-    owned = log.withColumn("member_id", member)
-    ranked = positions(owned, ["member_id"], ["offset", *TP], "delivery_seq")
+    partitions = log.select(*TP).distinct().count()
+    width = max(1, slice_width(log.sparkSession) // max(1, partitions))
+    ranked = positions(
+        log.withColumn("member_id", member), ["member_id"], ["offset", *TP], "delivery_seq", [div(F.col("offset"), width)]
+    )
     return ranked.withColumn("batch_id", div(F.col("delivery_seq"), n))
 
 

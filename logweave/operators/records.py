@@ -118,13 +118,19 @@ def process_by_partition(
 
 def sample_latest(log: DataFrame, period: str) -> DataFrame:
     """The record with the highest offset per partition and period; idle periods give nothing.
-    Periods count from the epoch."""
+    Periods count from the epoch.
+
+    A stream keeps the whole record as aggregation state. A bounded log finds the offsets first,
+    in a hash aggregate over numbers, and then picks those records out.
+    """
+    start = F.window("timestamp", period)["start"].alias("period_start")
     columns = [c for c in log.columns if c not in TP]
-    return (
-        log.groupBy(*TP, F.window("timestamp", period).alias("__w"))
-        .agg(F.max_by(F.struct(*columns), "offset").alias("__r"))
-        .select(*TP, F.col("__w")["start"].alias("period_start"), "__r.*")
-    )
+    if log.isStreaming:
+        latest = F.max_by(F.struct(*columns), "offset").alias("__r")
+        window = F.window("timestamp", period).alias("__w")
+        return log.groupBy(*TP, window).agg(latest).select(*TP, F.col("__w")["start"].alias("period_start"), "__r.*")
+    found = log.groupBy(*TP, start).agg(F.max("offset").alias("offset"))
+    return attach(log, found, [*TP, "offset"], "inner").select(*TP, "period_start", *columns)
 
 
 def take(df: DataFrame, n: int, member: Sequence[str], order: Sequence[str]) -> DataFrame:

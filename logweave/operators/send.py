@@ -99,11 +99,11 @@ def continue_on_error(requests: DataFrame) -> DataFrame:
 def send_status(requests: DataFrame) -> DataFrame:
     """The overall outcome per sender: counts and the first error (null = success)."""
     failed = F.col("error").isNotNull()
-    return requests.groupBy("sender_id").agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.count_if(failed).alias("failed"),
-        F.min_by("error", F.when(failed, F.col("seq"))).alias("first_error"),
+    counts = requests.groupBy("sender_id").agg(
+        F.count(F.lit(1)).alias("requests"), F.count_if(failed).alias("failed")
     )
+    first = requests.where(failed).groupBy("sender_id").agg(F.min_by("error", "seq").alias("first_error"))
+    return counts.join(first, "sender_id", "left")
 
 
 def fire_and_forget(requests: DataFrame, ends: DataFrame | None = None) -> DataFrame:

@@ -15,7 +15,10 @@ blocks of bounded length:
     3. every block replays its own chain from its real entry.
 
 Blocks hold distinct integers of a fixed-length range, so their size is bounded by the block
-length no matter how many records share one value.
+length no matter how many records share one value. While ``far`` is short against a block the
+candidates are a small fraction of the values. When it is longer than a block they are all of
+them: then step 2 streams the distinct integers of a group (for times, at most one per
+millisecond) through one task, a batch at a time.
 """
 
 from __future__ import annotations

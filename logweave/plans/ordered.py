@@ -34,9 +34,10 @@ def div(value: Column, n: int) -> Column:
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: ``kind`` is sum, min, max or last (last non-null value).
+    """One running value: ``kind`` is sum, min, max, last (last non-null value) or previous
+    (the value of the row just before, which may be null).
 
-    ``inclusive`` says whether the current row takes part.
+    ``inclusive`` says whether the current row takes part; it has no meaning for previous.
     """
 
     name: str
@@ -44,20 +45,24 @@ class Running:
     value: Column
     inclusive: bool = True
 
-    def total(self, order: Column) -> Column:
-        """The value of a whole slice."""
+    def total(self, position: Column) -> Column:
+        """The value of a whole slice. Over plain numbers all of these are hash aggregates."""
         if self.kind == "last":
-            return F.max_by(F.struct(self.value.alias("v")), F.when(self.value.isNotNull(), order))
+            return F.max_by(self.value, F.when(self.value.isNotNull(), position))
+        if self.kind == "previous":
+            return F.max_by(self.value, position)
         return getattr(F, self.kind)(self.value)
 
     def carry(self, total: Column, before) -> Column:
         """The value of all earlier slices."""
-        if self.kind == "last":
-            return F.last(total, ignorenulls=True).over(before)
+        if self.kind in ("last", "previous"):
+            return F.last(total, ignorenulls=self.kind == "last").over(before)
         return getattr(F, self.kind)(total).over(before)
 
-    def local(self, within, here) -> Column:
-        """The value inside the slice."""
+    def local(self, within) -> Column:
+        """The value inside the slice; for previous also whether there is a row before."""
+        if self.kind == "previous":
+            return F.struct((F.row_number().over(within) > 1).alias("found"), F.lag(self.value).over(within).alias("v"))
         end = Window.currentRow if self.inclusive else -1
         frame = within.rowsBetween(Window.unboundedPreceding, end)
         if self.kind == "last":
@@ -68,7 +73,9 @@ class Running:
         if self.kind == "sum":
             return F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
         if self.kind == "last":
-            return F.coalesce(local, carry["v"])
+            return F.coalesce(local, carry)
+        if self.kind == "previous":
+            return F.when(local["found"], local["v"]).otherwise(carry)
         return (F.least if self.kind == "min" else F.greatest)(carry, local)
 
 
@@ -90,7 +97,7 @@ def running(
     keys = [f"__slice{i}" for i in range(len(slice_by))]
     sliced = df.withColumns(dict(zip(keys, slice_by)))
     whole = [*by, *keys]
-    position = F.struct(*order)
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
     totals = sliced.groupBy(*whole).agg(*[m.total(position).alias(f"__c_{m.name}") for m in measures])
     before = Window.partitionBy(*by).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -99,7 +106,7 @@ def running(
     )
 
     within = Window.partitionBy(*whole).orderBy(*order)
-    scanned = sliced.withColumns({f"__l_{m.name}": m.local(within, position) for m in measures})
+    scanned = sliced.withColumns({f"__l_{m.name}": m.local(within) for m in measures})
     merged = scanned.join(carries, whole, "left").withColumns(
         {m.name: m.merge(F.col(f"__c_{m.name}"), F.col(f"__l_{m.name}")) for m in measures}
     )
@@ -120,10 +127,5 @@ def positions(
 def previous(
     df: DataFrame, by: Sequence[str], order: Sequence[str], values: dict[str, Column]
 ) -> DataFrame:
-    """``df`` plus, per entry of ``values``, that value on the row just before (null at the start).
-
-    The value is wrapped in a struct so that a null on the previous row stays null.
-    """
-    held = [Running(f"__prev_{n}", "last", F.struct(v.alias("v")), inclusive=False) for n, v in values.items()]
-    out = running(df, by, order, held)
-    return out.select(*df.columns, *[F.col(f"__prev_{n}")["v"].alias(n) for n in values])
+    """``df`` plus, per entry of ``values``, that value on the row just before (null at the start)."""
+    return running(df, by, order, [Running(n, "previous", v) for n, v in values.items()])

@@ -62,15 +62,13 @@ class TxnSink:
         self.commit(batch_id)
 
     def write_data(self, requests: DataFrame, batch_id: int, order: Sequence[str]) -> None:
-        here = F.struct(*order)
+        # the control entry sorts behind everything with the greatest leading order value
         touched = settle(
             requests.groupBy(*TP).agg(
-                F.max(here).alias("last"), F.max("timestamp").alias("timestamp"), F.count(F.lit(1)).alias("records")
+                *[F.max(c).alias(c) for c in dict.fromkeys([*order, "timestamp"])], F.count(F.lit(1)).alias("records")
             )
         )
-        control = touched.select(
-            *TP, "timestamp", "last.*", F.lit(True).alias("is_control"), F.lit(None).cast("string").alias("error")
-        )
+        control = touched.drop("records").withColumns({"is_control": F.lit(True), "error": F.lit(None).cast("string")})
         both = requests.withColumn("is_control", F.lit(False)).unionByName(control, allowMissingColumns=True)
         slices = [div(F.col(order[0]).cast("long"), slice_width(self.spark))]
         before = previous(self.spark, f"{self.path}/ends", batch_id) if batch_id else self._first_ends
