@@ -37,8 +37,9 @@ def anchored_windows(
     """
     stamped = requests.withColumn("__ms", F.unix_millis(time))
     nodes = stamped.groupBy("sender_id", "__ms").agg(F.min("seq").alias("__first"))
-    walked = hits(nodes, ["sender_id"], "__ms", near=0, far=millis, first_hits=False, carry=carry)
-    per_ms = walked.join(nodes, ["sender_id", "__ms"])
+    per_ms = hits(
+        nodes, ["sender_id"], "__ms", near=0, far=millis, first_hits=False, carry=carry, keep=["__first"]
+    )
     closes = F.col("is_hit") & (F.col("seq") == F.col("__first"))
     after_close = F.col("is_hit") & (F.col("seq") != F.col("__first"))
     out = stamped.join(per_ms, ["sender_id", "__ms"]).withColumns(

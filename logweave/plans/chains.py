@@ -27,6 +27,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,39 +86,68 @@ def replay(values: np.ndarray, entry: int | None, near: int, far: int) -> np.nda
     return hit
 
 
-def _by_block(batches: Iterator[pd.DataFrame], names: list[str], fn) -> Iterator[pd.DataFrame]:
-    """Call ``fn(columns)`` for each run of equal ``names`` in sorted batches; one frame per batch.
-
-    ``columns`` maps names to arrays of one whole block. Only the block that a batch leaves
-    unfinished is kept for the next one.
-    """
-    held = None
-    for pdf in batches:
-        if held is not None:
-            pdf = pd.concat([held, pdf], ignore_index=True)
-        if not len(pdf):
-            continue
-        starts = _run_starts(pdf, names)
-        held = pdf.iloc[starts[-1] :]
-        if len(starts) > 1:
-            yield _apply_runs(pdf.iloc[: starts[-1]], starts, fn)
-    if held is not None:
-        yield _apply_runs(held, np.array([0, len(held)]), fn)
-
-
-def _run_starts(pdf: pd.DataFrame, names: list[str]) -> np.ndarray:
-    changed = np.zeros(len(pdf), dtype=bool)
+def _run_starts(columns: list[pa.Array]) -> np.ndarray:
+    """Where a run of equal keys begins; compares whole columns, makes no Python objects."""
+    changed = np.zeros(len(columns[0]), dtype=bool)
     changed[0] = True
-    for name in names:
-        column = pdf[name].to_numpy()
-        changed[1:] |= column[1:] != column[:-1]
+    for column in columns:
+        different = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1))
+        changed[1:] |= different.to_numpy(zero_copy_only=False)
     return np.flatnonzero(changed)
 
 
-def _apply_runs(pdf: pd.DataFrame, starts: np.ndarray, fn) -> pd.DataFrame:
-    columns = {name: pdf[name].to_numpy() for name in pdf.columns}
-    parts = [fn({n: c[i:j] for n, c in columns.items()}) for i, j in zip(starts[:-1], starts[1:])]
-    return pd.DataFrame({n: np.concatenate([part[n] for part in parts]) for n in parts[0]})
+def _by_block(batches: Iterator[pa.RecordBatch], names: list[str], keys: list[str], fn) -> Iterator[pa.RecordBatch]:
+    """Call ``fn(columns)`` for each run of equal ``names`` in sorted batches.
+
+    ``columns`` maps the other columns to arrays of one whole block; ``fn`` returns arrays of
+    one length, which get the ``keys`` of the block in front: those of the same row when ``fn``
+    returns as many rows as it got. Only the block that a batch leaves unfinished is kept for
+    the next one.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts = _run_starts([batch.column(n) for n in names])
+        same = held and all(held[-1].column(n)[-1].equals(batch.column(n)[0]) for n in names)
+        if held and not same:
+            yield _apply_runs(held, names, keys, fn)
+            held = []
+        if len(starts) == 1:
+            held.append(batch)
+            continue
+        begin = 0
+        if held:
+            yield _apply_runs([*held, batch.slice(0, starts[1])], names, keys, fn)
+            begin = 1
+        if begin < len(starts) - 1:
+            yield _apply_runs([batch.slice(starts[begin], starts[-1] - starts[begin])], names, keys, fn)
+        held = [batch.slice(starts[-1])]
+    if held:
+        yield _apply_runs(held, names, keys, fn)
+
+
+def _apply_runs(batches: list[pa.RecordBatch], names: list[str], keys: list[str], fn) -> pa.RecordBatch:
+    table = pa.Table.from_batches(batches).combine_chunks()
+    column = {n: table.column(n).combine_chunks() for n in table.column_names}
+    starts = _run_starts([column[n] for n in names])
+    numbers = {n: c.to_numpy(zero_copy_only=False) for n, c in column.items() if n not in {*names, *keys}}
+    bounds = list(zip(starts, [*starts[1:], table.num_rows]))
+    parts = [fn({n: c[i:j] for n, c in numbers.items()}) for i, j in bounds]
+    lengths = [len(next(iter(part.values()))) for part in parts]
+    if all(length == j - i for length, (i, j) in zip(lengths, bounds)):
+        arrays = {n: column[n] for n in keys}
+    else:
+        rows = pa.array(np.repeat(starts, lengths))
+        arrays = {n: column[n].take(rows) for n in keys}
+    for n in parts[0]:
+        values = np.concatenate([part[n] for part in parts])
+        if values.dtype.kind == "f":  # integers with gaps
+            missing = np.isnan(values)
+            arrays[n] = pa.array(np.where(missing, 0, values).astype("int64"), mask=missing)
+        else:
+            arrays[n] = pa.array(values)
+    return pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
 
 def hits(
@@ -127,33 +158,34 @@ def hits(
     far: int,
     first_hits: bool,
     carry: DataFrame | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Walk the chain of every group.
 
     ``nodes`` has one row per distinct ``(by, value)`` with an integer value. ``first_hits``:
     the first value is itself a hit; otherwise it only anchors the chain. ``carry`` (``by``,
-    ``after``) continues from an earlier anchor. Returns ``by``, ``value``, ``is_hit``,
+    ``after``) continues from an earlier anchor. Returns ``by``, ``keep``, ``value``, ``is_hit``,
     ``hits_before`` and ``last_hit`` (the latest hit or anchor before this value, or null).
     """
     spark = nodes.sparkSession
     ship_package(spark)
     by = list(by)
     length = block_length(spark, far)
-    blocked = nodes.select(*by, F.col(value).cast("long").alias("__v")).withColumn("__block", div(F.col("__v"), length))
+    kept = nodes.select(*by, *keep, F.col(value).cast("long").alias("__v")).withColumn("__block", div(F.col("__v"), length))
+    blocked = kept.drop(*keep)
     keys = [f for f in blocked.schema.fields if f.name in by]
     names = [*by, "__block"]
     longs = lambda *columns: [T.StructField(c, T.LongType()) for c in columns]
 
     def to_map(block: dict) -> dict:
         entries, last, count = block_map(block["__v"], near, far)
-        head = {name: np.repeat(block[name][:1], len(entries)) for name in names}
-        return head | {"__entry": entries, "__last": last, "__count": count}
+        return {"__entry": entries, "__last": last, "__count": count}
 
     maps = (
         blocked.repartition(*names)
         .sortWithinPartitions(*names, "__v")
-        .mapInPandas(
-            lambda batches: _by_block(batches, names, to_map),
+        .mapInArrow(
+            lambda batches: _by_block(batches, names, names, to_map),
             T.StructType([*keys, *longs("__block", "__entry", "__last", "__count")]),
         )
     )
@@ -169,7 +201,7 @@ def hits(
             found: list[tuple] = []
             if not len(pdf):
                 continue
-            starts = _run_starts(pdf, names)
+            starts = _run_starts([pa.array(pdf[n]) for n in names])
             heads = list(zip(*[pdf[n].iloc[starts].tolist() for n in names]))
             given = pdf["__after"].iloc[starts].tolist()
             entries, lasts, counts = (pdf[n].to_numpy() for n in ("__entry", "__last", "__count"))
@@ -216,14 +248,14 @@ def hits(
         # index of the latest hit before each value, -1 for none inside this block
         at = np.maximum.accumulate(np.concatenate([[-1], np.where(hit, np.arange(len(hit)), -1)[:-1]]))
         last = np.where(at >= 0, values[at], np.nan if pd.isna(after) else after)
-        head = {name: block[name] for name in by}
-        return head | {value: values, "is_hit": hit, "hits_before": done + block["__seen"], "last_hit": last}
+        return {value: values, "is_hit": hit, "hits_before": done + block["__seen"], "last_hit": last}
 
     state = entries.select(*names, "__entry", "__after", "__seen")
-    schema = T.StructType([*keys, *longs(value), T.StructField("is_hit", T.BooleanType()), *longs("hits_before", "last_hit")])
+    extra = [f for f in kept.schema.fields if f.name in keep]
+    schema = T.StructType([*keys, *extra, *longs(value), T.StructField("is_hit", T.BooleanType()), *longs("hits_before", "last_hit")])
     return (
-        blocked.join(state, names, "left")
+        kept.join(state, names, "left")
         .repartition(*names)
         .sortWithinPartitions(*names, "__v")
-        .mapInPandas(lambda batches: _by_block(batches, names, play), schema)
+        .mapInArrow(lambda batches: _by_block(batches, names, [*by, *keep], play), schema)
     )
