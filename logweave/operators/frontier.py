@@ -55,7 +55,7 @@ def deferred_pause(frontier: DataFrame, max_deferred: int, member) -> DataFrame:
     )
 
 
-def in_pipeline(marked: DataFrame, member) -> DataFrame:
+def in_flight(marked: DataFrame, member) -> DataFrame:
     """Delivered, acknowledged and still unacknowledged records per member."""
     return (
         marked.withColumn("member_id", member)
@@ -63,6 +63,6 @@ def in_pipeline(marked: DataFrame, member) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("delivered"),
             F.count_if("acked").alias("acknowledged"),
-            F.count_if(~F.col("acked")).alias("in_pipeline"),
+            F.count_if(~F.col("acked")).alias("in_flight"),
         )
     )

@@ -39,9 +39,11 @@ def last_stable_offsets(log: DataFrame, txns: DataFrame) -> DataFrame:
     )
 
 
-def read_committed(log: DataFrame, txns: DataFrame) -> DataFrame:
-    """Entries a read-committed reader gets."""
-    stable = last_stable_offsets(log, txns)
+def read_committed(log: DataFrame, txns: DataFrame, stable: DataFrame | None = None) -> DataFrame:
+    """Entries a read-committed reader gets. ``stable``: the result of
+    :func:`last_stable_offsets` if the caller has it already."""
+    if stable is None:
+        stable = last_stable_offsets(log, txns)
     aborted = txns.where(F.col("state") == "aborted").select("txn_id").distinct()
     visible = (
         attach(read_uncommitted(log), stable, TP)

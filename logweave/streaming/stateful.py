@@ -7,14 +7,17 @@ bounded operator, so a hot partition or sender is as spread out as it is there.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.operators.frontier import commit_frontier, mark_acked
 from logweave.operators.transactions import anchored_windows
 from logweave.plans.ordered import div, positions
-from logweave.plans.small import attach
+from logweave.plans.small import attach, settle
 from logweave.schema import TP, TPO
+from logweave.sources import isolation
 from logweave.streaming.runs import BatchFunction, overwrite, previous
 
 
@@ -50,6 +53,27 @@ def frontier(path: str) -> BatchFunction:
     return each
 
 
+def read_committed(path: str, txns: Callable[[], DataFrame]) -> BatchFunction:
+    """Read-committed delivery of a stream of log entries; ``txns()`` reads the markers so far.
+
+    ``<path>/visible`` gets every committed entry once, in the batch in which nothing before it
+    in its partition is undecided any more. The state is what is still held back.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        held = previous(spark, f"{path}/held", batch_id)
+        overwrite(batch if held is None else batch.unionByName(held), f"{path}/candidates", batch_id)
+        candidates = spark.read.parquet(f"{path}/candidates/batch_id={batch_id}")
+        markers = txns()
+        stable = settle(isolation.last_stable_offsets(candidates, markers))
+        overwrite(isolation.read_committed(candidates, markers, stable), f"{path}/visible", batch_id)
+        waiting = attach(candidates, stable, TP, "inner").where(F.col("offset") >= F.col("stable_offset"))
+        overwrite(waiting.drop("stable_offset"), f"{path}/held", batch_id)
+
+    return each
+
+
 def latest_frontier(commits: DataFrame) -> DataFrame:
     """From ``<path>/commits``: per partition the last commit and the deferred count now."""
     return commits.groupBy(*TP).agg(

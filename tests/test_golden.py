@@ -77,7 +77,7 @@ def test_unknown_and_repeated_acks_have_no_effect(spark):
     marked = frontier.mark_acked(delivered, acks)
     assert marked.count() == 3
     assert frontier.commit_frontier(marked).first().commit_offset == 1
-    assert frontier.in_pipeline(marked, F.lit(0)).first().in_pipeline == 2
+    assert frontier.in_flight(marked, F.lit(0)).first().in_flight == 2
 
 
 # -- commits ----------------------------------------------------------------------------------

@@ -121,6 +121,33 @@ def test_frontier_over_batches(spark, tmp_path):
     assert sorted((r.offset, r.acked) for r in pending) == [(4, False), (5, False)]
 
 
+def test_undecided_entries_are_held_back(spark, tmp_path):
+    markers = []
+
+    def txns():
+        return spark.createDataFrame(markers, "txn_id string, state string")
+
+    def entries(*rows):
+        schema = "topic string, partition int, offset long, txn_id string, is_control boolean"
+        return spark.createDataFrame([("t", p, o, x, False) for p, o, x in rows], schema)
+
+    each = stateful.read_committed(f"{tmp_path}/out", txns)
+
+    def seen():
+        return sorted((r.partition, r.offset) for r in spark.read.parquet(f"{tmp_path}/out/visible").collect())
+
+    each(entries((0, 0, None), (0, 1, "a"), (0, 2, None), (1, 0, None)), 0)
+    assert seen() == [(0, 0), (1, 0)]
+    each(entries((0, 3, "b"), (1, 1, "b")), 1)
+    assert seen() == [(0, 0), (1, 0)]
+    markers.append(("a", "committed"))
+    each(entries((1, 2, None)), 2)
+    assert seen() == [(0, 0), (0, 1), (0, 2), (1, 0)]
+    markers.append(("b", "aborted"))
+    each(entries((0, 4, None)), 3)
+    assert seen() == [(0, 0), (0, 1), (0, 2), (0, 4), (1, 0), (1, 2)]
+
+
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     schema = "kind string, topic string, partition int, offset long"
     each = stateful.frontier(f"{tmp_path}/out")

@@ -100,10 +100,10 @@ def frontier_revoked(spark, sf):
 
 
 @query(
-    f"""WITH {L} SELECT member_id, COUNT(*) AS delivered, COUNT(*) FILTER (value <= 250) AS acknowledged, COUNT(*) FILTER (value > 250) AS in_pipeline FROM l GROUP BY member_id"""
+    f"""WITH {L} SELECT member_id, COUNT(*) AS delivered, COUNT(*) FILTER (value <= 250) AS acknowledged, COUNT(*) FILTER (value > 250) AS in_flight FROM l GROUP BY member_id"""
 )
-def in_pipeline(spark, sf):
-    return frontier.in_pipeline(fx.marked(spark, sf), fx.member())
+def in_flight(spark, sf):
+    return frontier.in_flight(fx.marked(spark, sf), fx.member())
 
 
 _LEDGER = """p AS (SELECT part_id, log_offset, COALESCE(LAG(log_offset) OVER (PARTITION BY part_id ORDER BY log_offset) + 6, -1) AS c FROM l)"""

@@ -10,11 +10,12 @@ from logweave.functions.codec import bytes_to_int
 from logweave.operators import commits, records, stats
 from logweave.schema import LOG, TP
 from logweave.session import new_dir
+from logweave.sources import starts
 from logweave.sources.topic_log import TopicLog
 from logweave.streaming import runs, stateful
 from logweave.streaming.transactional import TransactionAborted, TxnSink, exactly_once
+from workload import ORACLES, query, scans  # noqa: F401  scans defines two of the oracles
 from workload import fixtures as fx
-from workload import query
 from workload.flows import PEOPLE
 from workload.measures import _HOUR, _RATES, _SUMS
 from workload.sending import _ANCHORED, _SIX_HOURS
@@ -179,6 +180,36 @@ def txn_anchored_stream(spark, sf):
     return done.select("sender_id", F.unix_millis("timestamp").alias("ms"), "txn_no", "window_start", "closes")
 
 
+@query(ORACLES["read_committed"])
+def read_committed_stream(spark, sf):
+    """The marker of a transaction is known once the stream has passed its last record."""
+    out, checkpoint = folder(spark)
+    newest = []
+
+    def markers():
+        spans = fx.event_log(spark, sf).where(F.col("txn_id").isNotNull()).groupBy("txn_id").agg(F.max("timestamp").alias("last"))
+        known = spans.where(F.col("last") < newest[-1]).select("txn_id")
+        return fx.txns(spark, sf).join(known, "txn_id", "left_semi")
+
+    def each(batch, batch_id):
+        newest.append(batch.agg(F.max("timestamp")).first()[0])
+        stateful.read_committed(out, markers)(batch, batch_id)
+
+    replay_log(spark, sf, lambda log: runs.start(log.read_stream(topics=["events"]), each, checkpoint))
+    return fx.plain(spark.read.parquet(f"{out}/visible").select("partition", "offset", "timestamp"))
+
+
+@query(ORACLES["resume_group"])
+def resume_group_stream(spark, sf):
+    """A new stream that starts at the committed offsets of a group."""
+    start_map = starts.resume(fx.event_log(spark, sf), fx.commits(spark, sf), "g")
+    out, checkpoint = folder(spark)
+    replay_log(
+        spark, sf, lambda log: runs.to_files(starts.read_from(log.read_stream(topics=["events"]), start_map), out, checkpoint)
+    )
+    return fx.plain(spark.read.schema(LOG).parquet(out).select("partition", "offset", "timestamp"))
+
+
 def _copy(batch):
     """Requests that copy records to another topic, partitions in reverse."""
     return batch.select(
