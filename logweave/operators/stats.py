@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.operators.transactions import anchored_windows
-from logweave.plans.ordered import Running, div, positions, running
-from logweave.plans.quantiles import nearest_rank
+from logweave.plans.ordered import Running, div, running
+from logweave.plans.quantiles import histogram, nearest_rank, summarise
 from logweave.schema import TP
 
 MIB = 1048576.0
@@ -106,22 +106,25 @@ def consumer_progress(consumed: DataFrame, block: int = BLOCK_MESSAGES) -> DataF
 
     ``consumed(member_id, delivery_seq, bytes, time_ms)``.
     """
-    ranked = positions(consumed, ["member_id"], ["delivery_seq"], "__rank")
-    blocks = (
-        ranked.withColumn("block_no", div(F.col("__rank"), block))
-        .groupBy("member_id", "block_no")
+    scanned = running(
+        consumed,
+        ["member_id"],
+        ["delivery_seq"],
+        [
+            Running("__rank", "sum", F.lit(1).cast("long"), inclusive=False),
+            Running("__bytes", "sum", F.col("bytes").cast("long")),
+        ],
+    )
+    return (
+        scanned.groupBy("member_id", div(F.col("__rank"), block).alias("block_no"))
         .agg(
             F.count(F.lit(1)).alias("block_messages"),
-            F.sum("bytes").alias("block_bytes"),
             F.max("time_ms").alias("time_ms"),
+            (F.max("__rank") + 1).alias("messages"),
+            (F.max("__bytes") / F.lit(MIB)).alias("mb"),
+            (F.sum("bytes") / F.lit(MIB)).alias("block_mb"),
         )
     )
-    total = [Running("messages", "sum", F.col("block_messages")), Running("bytes", "sum", F.col("block_bytes"))]
-    return (
-        running(blocks, ["member_id"], ["block_no"], total)
-        .withColumns({"mb": F.col("bytes") / F.lit(MIB), "block_mb": F.col("block_bytes") / F.lit(MIB)})
-        .drop("bytes", "block_bytes")
-    )
 
 
 def consumer_totals(log: DataFrame, elapsed_ms: Column | None = None) -> DataFrame:
@@ -143,13 +146,8 @@ def latency_summary(sent: DataFrame, received: DataFrame, on: str, by: Sequence[
     """End-to-end latency of ``sent(on, sent_ms)`` and ``received(on, received_ms)``:
     message count, average and nearest-rank percentiles."""
     joined = sent.join(received, on).withColumn("latency_ms", F.col("received_ms") - F.col("sent_ms"))
-    groups = list(by) or ["__run"]
-    if not by:
-        joined = joined.withColumn("__run", F.lit(0))
-    mean = joined.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("messages"), (F.sum("latency_ms") / F.count(F.lit(1))).alias("avg_latency_ms")
-    )
-    return mean.join(nearest_rank(joined, "latency_ms", LATENCY_PERCENTILES, groups), groups).drop("__run")
+    summary = summarise(histogram(joined, "latency_ms", by), "latency_ms", LATENCY_PERCENTILES, by)
+    return summary.withColumnsRenamed({"n": "messages", "mean": "avg_latency_ms"})
 
 
 def integrity_check(sent: DataFrame, received: DataFrame, on: str, payload: str) -> DataFrame:

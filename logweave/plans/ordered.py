@@ -34,10 +34,10 @@ def div(value: Column, n: int) -> Column:
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: ``kind`` is sum, min, max, last (last non-null value) or previous
-    (the value of the row just before, which may be null).
+    """One running value: ``kind`` is sum, min, max, last (last non-null value), previous (the
+    value of the row just before, which may be null) or total (the sum of the whole group).
 
-    ``inclusive`` says whether the current row takes part; it has no meaning for previous.
+    ``inclusive`` says whether the current row takes part; previous and total ignore it.
     """
 
     name: str
@@ -51,10 +51,12 @@ class Running:
             return F.max_by(self.value, F.when(self.value.isNotNull(), position))
         if self.kind == "previous":
             return F.max_by(self.value, position)
-        return getattr(F, self.kind)(self.value)
+        return F.sum(self.value) if self.kind == "total" else getattr(F, self.kind)(self.value)
 
-    def carry(self, total: Column, before) -> Column:
-        """The value of all earlier slices."""
+    def carry(self, total: Column, before, every) -> Column:
+        """The value of all earlier slices; for total that of all slices."""
+        if self.kind == "total":
+            return F.sum(total).over(every)
         if self.kind in ("last", "previous"):
             return F.last(total, ignorenulls=self.kind == "last").over(before)
         return getattr(F, self.kind)(total).over(before)
@@ -63,6 +65,8 @@ class Running:
         """The value inside the slice; for previous also whether there is a row before."""
         if self.kind == "previous":
             return F.struct((F.row_number().over(within) > 1).alias("found"), F.lag(self.value).over(within).alias("v"))
+        if self.kind == "total":
+            return F.lit(None)
         end = Window.currentRow if self.inclusive else -1
         frame = within.rowsBetween(Window.unboundedPreceding, end)
         if self.kind == "last":
@@ -70,6 +74,8 @@ class Running:
         return getattr(F, self.kind)(self.value).over(frame)
 
     def merge(self, carry: Column, local: Column) -> Column:
+        if self.kind == "total":
+            return carry
         if self.kind == "sum":
             return F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
         if self.kind == "last":
@@ -100,9 +106,10 @@ def running(
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
     totals = sliced.groupBy(*whole).agg(*[m.total(position).alias(f"__c_{m.name}") for m in measures])
-    before = Window.partitionBy(*by).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy(*by)
+    before = every.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     carries = totals.select(
-        *whole, *[m.carry(F.col(f"__c_{m.name}"), before).alias(f"__c_{m.name}") for m in measures]
+        *whole, *[m.carry(F.col(f"__c_{m.name}"), before, every).alias(f"__c_{m.name}") for m in measures]
     )
 
     within = Window.partitionBy(*whole).orderBy(*order)

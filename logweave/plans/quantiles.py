@@ -19,6 +19,11 @@ def log_bucket(value: Column) -> Column:
     return F.when(value < 0, -size).otherwise(size)
 
 
+def histogram(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """``(by, value, n)``: how often each non-null value occurs."""
+    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+
+
 def nearest_rank(
     df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -28,20 +33,30 @@ def nearest_rank(
     the running count goes over distinct values in log-spaced slices, so neither a frequent
     value nor a long tail ends up in one task.
     """
+    return summarise(histogram(df, value, by), value, probabilities, by).drop("n", "mean")
+
+
+def summarise(
+    counted: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Count ``n``, ``mean`` and nearest ranks of a :func:`histogram` of integers."""
     groups = list(by) or ["__all"]
     if not by:
-        df = df.withColumn("__all", F.lit(0))
-    histogram = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__n"))
+        counted = counted.withColumn("__all", F.lit(0))
     ranked = running(
-        histogram,
+        counted,
         groups,
         [value],
-        [Running("__cum", "sum", F.col("__n"))],
+        [
+            Running("__cum", "sum", F.col("n")),
+            Running("__total", "total", F.col("n")),
+            Running("__sum", "total", F.col(value) * F.col("n")),
+        ],
         slice_by=[log_bucket(F.col(value).cast("double"))],
     )
-    sizes = histogram.groupBy(*groups).agg(F.sum("__n").alias("__total"))
     picks = [
         F.min(F.when(F.col("__cum") > F.floor(F.lit(p) * F.col("__total").cast("double")), F.col(value))).alias(name)
         for name, p in probabilities.items()
     ]
-    return ranked.join(sizes, groups).groupBy(*groups).agg(*picks).drop("__all")
+    whole = [F.max("__total").alias("n"), (F.max("__sum") / F.max("__total")).alias("mean")]
+    return ranked.groupBy(*groups).agg(*whole, *picks).drop("__all")

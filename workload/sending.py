@@ -198,7 +198,7 @@ def send_transactional(spark, sf):
     seen = isolation.read_committed(entries, markers).groupBy(*TP).agg(
         F.count(F.lit(1)).alias("visible"), F.max("offset").alias("last_visible")
     )
-    return fx.plain(ends.join(seen, TP, "left").drop("topic"))
+    return fx.plain(ends.join(seen, TP, "left").withColumn("visible", F.coalesce("visible", F.lit(0))).drop("topic"))
 
 
 @query(f"WITH {R} SELECT sender_id, seq, (ROW_NUMBER() OVER (PARTITION BY sender_id ORDER BY seq) - 1) // 100 AS txn_no FROM r")
