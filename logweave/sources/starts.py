@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweave.plans.small import attach, bounded, local, salted
+from logweave.plans.small import bounded, local, salted
 from logweave.schema import TP
 from logweave.sources.catalog import latest_commits, offsets_for_time, topic_bounds
 

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from logweave.schema import LOG, TP
+from logweave.schema import LOG
 from logweave.sources.topic_log import TopicLog
 from logweave.streaming import metrics, runs, stateful
 from logweave.streaming.transactional import TxnSink, exactly_once

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from logweave.functions.codec import bytes_to_int
 from logweave.operators import stats, tracing
 from logweave.operators.commits import poll_batches
 from logweave.plans.quantiles import nearest_rank
