@@ -6,7 +6,7 @@ from conftest import SF_DIR
 import __spark_entry__ as entry_module
 from compare import assert_same, oracle_connection
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = entry_module.QUERIES, entry_module.ORACLES
 
 
 @pytest.fixture(scope="module")
