@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import mixing, quality, sharding
+from logweave.llm import mixing, quality, sharding, simhash
 
 QUERIES = {}
 ORACLES = {}
@@ -109,3 +109,8 @@ FROM a"""
 def op5_capped_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_report(table(spark, sf_dir, "documents"), WEIGHTS, MAX_EPOCHS)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op8_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
