@@ -46,3 +46,20 @@ def parts_for(total_bytes: int, part_bytes: int) -> int:
 def python_ready(spark: SparkSession) -> None:
     """Python workers can import this package from here on."""
     ship_package(spark)
+
+
+#: A staged table is broadcast up to this many bytes of rows.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: Column | None = None) -> DataFrame:
+    """``df``, a staged table, with a broadcast hint if its rows measure at most
+    ``BROADCAST_BYTES``; beyond that the join is an ordinary shuffle join."""
+    width = (row_bytes if row_bytes is not None else F.lit(0)) + 16 * len(df.columns)
+    total = df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+
+
+def ascii_lower(text: Column) -> Column:
+    """A to Z in lower case, all else unchanged. Texts of ASCII characters only take the short way."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

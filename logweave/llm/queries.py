@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import mixing, quality, sharding, simhash
+from logweave.llm import decontaminate, mixing, quality, sharding, simhash
 
 QUERIES = {}
 ORACLES = {}
@@ -114,3 +114,23 @@ def op5_capped_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+LOWER_SQL = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+CONTAMINATION_SQL = rf"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({LOWER_SQL}, '{WORD}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({LOWER_SQL}, '{WORD}') AS w FROM benchmark),
+v AS (SELECT DISTINCT item_id, w[s:s + LEAST(len(w), 13) - 1] AS win FROM b, unnest(range(1, GREATEST(len(w) - 12, 1) + 1)) AS u(s) WHERE len(w) > 0),
+n AS (SELECT DISTINCT len(win) AS n FROM v),
+c AS (SELECT r, s, n, w[s:s + n - 1] AS win FROM d, n, unnest(range(1, len(w) - n + 2)) AS u(s) WHERE len(w) >= n),
+m AS (SELECT r, s, n, item_id FROM c JOIN v USING (win)),
+h AS (SELECT r, COUNT(DISTINCT s + o) AS n_hit FROM (SELECT DISTINCT r, s, n FROM m), unnest(range(n)) AS u(o) GROUP BY r),
+i AS (SELECT r, COUNT(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM (SELECT DISTINCT r, item_id FROM m) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items, sha256(COALESCE(items, '')) AS items_sha256,
+  COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r)"""
+
+
+@query(CONTAMINATION_SQL)
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
