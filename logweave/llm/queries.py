@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import decontaminate, mixing, quality, sharding, simhash
+from logweave.llm import decontaminate, lines, mixing, quality, sharding, simhash, tokenbin
+from logweave.session import new_dir
 
 QUERIES = {}
 ORACLES = {}
@@ -134,3 +135,32 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r)"""
 @query(CONTAMINATION_SQL)
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: The end of a document in the token files.
+END_ID = 2
+
+
+@query()
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = new_dir(spark, "tokens")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    manifest = tokenbin.write(table(spark, sf_dir, "documents"), path, vocabulary, END_ID, by_word=True)
+    return tokenbin.read(spark, path, manifest)
+
+
+LINES_SQL = r"""WITH d AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, i, l[i] AS line, translate(regexp_replace(regexp_replace(l[i], '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM d, unnest(range(1, len(l) + 1)) AS u(i)),
+s AS (SELECT k, MIN(doc_id) AS first FROM x WHERE length(k) >= 10 GROUP BY k HAVING COUNT(DISTINCT doc_id) > 1),
+y AS (SELECT x.*, s.first IS NOT NULL AND s.first <> doc_id AS gone FROM x LEFT JOIN s USING (k))
+SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (gone) AS n_dropped,
+  sha256(COALESCE(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM y GROUP BY doc_id"""
+
+
+@query(LINES_SQL)
+def op7_shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
