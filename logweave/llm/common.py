@@ -63,3 +63,8 @@ def broadcast_if_small(df: DataFrame, row_bytes: Column | None = None) -> DataFr
 def ascii_lower(text: Column) -> Column:
     """A to Z in lower case, all else unchanged. Texts of ASCII characters only take the short way."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def row_key(key: str, text: str) -> Column:
+    """A name for a row that is never null: its key and a hash of its text. Equal rows share it."""
+    return F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("-")), F.hex(F.xxhash64(F.coalesce(F.col(text), F.lit("")))))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweave.llm.common import ascii_lower, broadcast_if_small, stage
+from logweave.llm.common import ascii_lower, broadcast_if_small, row_key, stage
 
 WIDTH = 13
 #: Lists intersected per window: those of its rarest terms.
@@ -36,8 +36,7 @@ def terms_of(text: Column) -> Column:
 
 def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``__key`` (key and text hash, never null), key and text."""
-    name = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("-")), F.hex(F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
-    return docs.select(name.alias("__key"), F.col(key).alias("__id"), F.col(text).alias("__text"))
+    return docs.select(row_key(key, text).alias("__key"), F.col(key).alias("__id"), F.col(text).alias("__text"))
 
 
 def windows(benchmark: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
@@ -155,5 +154,4 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, width: int = WID
 def keep_clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not contaminated."""
     bad = contamination(docs, benchmark, width, key, text).where("contaminated").select("__key").distinct()
-    name = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("-")), F.hex(F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
-    return docs.withColumn("__key", name).join(stage(bad, "contaminated"), "__key", "left_anti").select(*docs.columns)
+    return docs.withColumn("__key", row_key(key, text)).join(stage(bad, "contaminated"), "__key", "left_anti").select(*docs.columns)

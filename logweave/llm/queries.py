@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import decontaminate, hosts, lines, mixing, quality, sharding, simhash, tokenbin
+from logweave.llm import decontaminate, hosts, lines, mixing, quality, sharding, simhash, suffixes, tokenbin
 from logweave.session import new_dir
 
 QUERIES = {}
@@ -204,3 +204,9 @@ SELECT page_id, w.host, path, best.rule AS rule, COALESCE(best.verdict, by_host)
 def op4_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = hosts.judge(table(spark, sf_dir, "pages"), hosts.rules_frame(spark, RULES))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
