@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import decontaminate, hosts, lines, mixing, quality, sharding, simhash, suffixes, tokenbin
+from logweave.llm import decontaminate, hosts, lines, mixing, quality, scoring, sharding, simhash, suffixes, tokenbin
 from logweave.session import new_dir
 
 QUERIES = {}
@@ -210,3 +210,11 @@ def op4_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op3_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return scoring.score_documents(table(spark, sf_dir, "documents"), vocabulary, 49_407)

@@ -17,6 +17,7 @@ an empty table writes no record; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from logweave.llm.common import parts_for, python_ready, stage, text_bytes
 
 #: Text bytes behind one file, and entries of a worker's word cache.
-PART_BYTES, CACHE_WORDS = 16 << 20, 400_000
+PART_BYTES, CACHE_WORDS = 16 << 20, 300_000
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("n", "<u4")])
 #: Fixed value of the masking rule.
 MASK_DELTA = 0xA282EAD8
@@ -57,26 +58,41 @@ def checked(data: bytes, checksum: bytes, what: str) -> bytes:
 
 class Encoder:
     """Ids of a text. Tokens of a whitespace-dropping tokenizer never cross white space, so words are
-    encoded once and their ids reused; the cache starts anew when it is full."""
+    encoded once and their ids reused. The cache has two generations of CACHE_WORDS: a word found in
+    the older one moves to the younger one, and when that is full the older one is forgotten."""
 
     def __init__(self, path: str, by_word: bool):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core already
         self.tokenizer = Tokenizer.from_file(path)
         self.code = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
-        self.by_word, self.cache = by_word, {}
+        self.by_word, self.young, self.old = by_word, {}, {}
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids(self, text: bytes) -> array:
         if not self.by_word:
-            return array(self.code, self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        words, cache = text.split(), self.cache
-        if new := [w for w in set(words) if w not in cache]:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-                new = list(set(words))
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            cache.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(new, found))
-        return array(self.code, b"".join(map(cache.__getitem__, words)))
+            return array(self.code, self.encode([text.decode("utf-8", "replace")])[0])
+        return array(self.code, b"".join(self.of_words(text.split())))
+
+    def of_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as bytes."""
+        if len(self.young) > CACHE_WORDS:
+            self.young, self.old = {}, self.young
+        young = self.young
+        if missing := [w for w in set(words) if w not in young]:
+            new = []
+            for w in missing:
+                if (known := self.old.get(w)) is None:
+                    new.append(w)
+                else:
+                    young[w] = known
+            if new:
+                found = self.encode([w.decode("utf-8", "replace") for w in new])
+                young.update((w, array(self.code, ids).tobytes()) for w, ids in zip(new, found))
+        return [young[w] for w in words]
 
 
 @lru_cache(maxsize=2)
