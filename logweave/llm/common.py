@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +71,11 @@ def ascii_lower(text: Column) -> Column:
 def row_key(key: str, text: str) -> Column:
     """A name for a row that is never null: its key and a hash of its text. Equal rows share it."""
     return F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("-")), F.hex(F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches, so that a task copies few texts at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+        pa.default_memory_pool().release_unused()

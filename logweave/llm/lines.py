@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.bloom import Suspects, packed, seen_twice, segments_for
-from logweave.llm.common import python_ready, stage
+from logweave.llm.common import python_ready, small_batches, stage
 
 LEAST_CHARS = 10
 LAST = (1 << 63) - 1
@@ -54,7 +54,7 @@ def suspected(rows: DataFrame, least: int) -> Suspects:
     segments = segments_for(lines)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             yield packed(hash_keys([k for t in batch.column(0) for k in keys_of(t.as_py(), least)]), segments)
 
     return seen_twice(rows.select(F.col("__text").cast("binary")).mapInArrow(run, "segment int, hashes binary"), segments)
@@ -65,7 +65,7 @@ def repeated_lines(rows: DataFrame, least: int) -> DataFrame:
     found = rows.sparkSession.sparkContext.broadcast(suspected(rows, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             docs, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = keys_of(text.as_py(), least)
@@ -94,7 +94,7 @@ def dedup_lines(docs: DataFrame, least: int = LEAST_CHARS, key: str = "doc_id",
     schema = whole.select(*rest, F.col(text)).schema.add("n_lines", "long").add("n_dropped", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             kept, n, dropped = [], [], []
             for body, drop in zip(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)):
                 lines = (body.as_py() or b"").split(b"\n")

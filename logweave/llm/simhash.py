@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import python_ready, stage
+from logweave.llm.common import python_ready, small_batches, stage
 from logweave.llm.components import connect, spanning_labels
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     python_ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             values = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), np.uint64, batch.num_rows)
             yield pa.record_batch([batch.column(0), pa.array(values.view(np.int64))], ["key", "fp"])
 

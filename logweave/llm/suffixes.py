@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from logweave.llm.bloom import Suspects, packed, seen_twice, segments_for
-from logweave.llm.common import python_ready, row_key, stage, text_bytes
+from logweave.llm.common import python_ready, row_key, small_batches, stage, text_bytes
 
 LENGTH, WINNOW, GRAM = 400, 192, 8
 #: Bytes worked on at once, and of one very long text.
@@ -181,7 +181,7 @@ def suspects(rows: DataFrame, length: int, winnow: int) -> Suspects:
     segments = segments_for(2 * text_bytes(rows, "__text") // (winnow + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             hashes = [common_hash(a, length, winnow) for a in anchors([t.as_py() for t in batch.column(0)], length, winnow)]
             yield packed(np.array(hashes, np.uint64), segments)
 
@@ -197,7 +197,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, winnow: int = WINNOW)
     split_at = np.array(splitters, f"S{lead}")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             keys = batch.column(0).to_pylist()
             for some in found_again([t.as_py() for t in batch.column(1)], twice.value, length, winnow):
                 leads = np.array([a.buffer[a.at : a.at + lead] for a in some], f"S{lead}")
@@ -285,7 +285,7 @@ def splitters_of(rows: DataFrame, twice, length: int, winnow: int) -> list[bytes
     lead = lead_bytes(length, winnow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             keys = batch.column(0).to_pylist()
             for some in found_again([t.as_py() for t in batch.column(1)], twice.value, length, winnow):
                 yield pa.record_batch(
@@ -322,7 +322,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, winnow: int = WINNOW,
     rest = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             out: list[tuple] = []
             for body, found in zip(batch.column(rest), batch.column(rest + 1)):
                 data, merged, keep, at = body.as_py(), [], [], 0
