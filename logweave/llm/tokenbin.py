@@ -18,6 +18,7 @@ an empty table writes no record; extra columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from logweave.llm.common import parts_for, python_ready, stage, text_bytes
 
 #: Text bytes behind one file, and entries of a worker's word cache.
-PART_BYTES, CACHE_WORDS = 16 << 20, 300_000
+PART_BYTES, CACHE_WORDS = 16 << 20, 400_000
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("n", "<u4")])
 #: Fixed value of the masking rule.
 MASK_DELTA = 0xA282EAD8
@@ -56,43 +57,78 @@ def checked(data: bytes, checksum: bytes, what: str) -> bytes:
     return data
 
 
+def byte_letters() -> dict[int, int]:
+    """The letter that byte-level tokenizers write for each byte: printable bytes are themselves,
+    the others follow from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {**{b: b for b in printable}, **{b: 256 + i for i, b in enumerate(rest)}}
+
+
+LETTERS = byte_letters()
+#: Words that case folding and splitting leave whole: Latin letters, then punctuation marks or none.
+PLAIN = re.compile("([a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([.,;:!?]*)")
+
+
+class Words(dict):
+    """Word to its ids as bytes, filled on demand."""
+
+    def __init__(self, encoder: Encoder, older: dict[bytes, bytes]):
+        self.encoder, self.older = encoder, older
+
+    def __missing__(self, word: bytes) -> bytes:
+        if (ids := self.older.get(word)) is None:
+            ids = array(self.encoder.code, self.encoder.encode(word.decode("utf-8", "replace"))).tobytes()
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of a text. Tokens of a whitespace-dropping tokenizer never cross white space, so words are
     encoded once and their ids reused. The cache has two generations of CACHE_WORDS: a word found in
-    the older one moves to the younger one, and when that is full the older one is forgotten."""
+    the older one moves to the younger one, and when that is full the older one is forgotten.
+
+    Most words are plain: lower-casing, normalisation and splitting leave the letters whole. For
+    them the tokenizer's merges are asked directly, which takes a fifth of the time, provided that
+    this gives the tokenizer's own ids for the probes."""
+
+    probes = ["word", "Word.", "ÀÖØöøįéß", "Don", "end...", "mixedCASE,", "ÿñ?!", "a", "lllmeevett"]
 
     def __init__(self, path: str, by_word: bool):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core already
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
         self.code = "H" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
-        self.by_word, self.young, self.old = by_word, {}, {}
+        self.by_word = by_word
+        self.words = Words(self, {})
+        self.short = by_word and all(self.directly(PLAIN.fullmatch(p)) == self.whole(p) for p in self.probes)
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def merged(self, part: str) -> list[int]:
+        return [t.id for t in self.merges.tokenize(part.encode().decode("latin-1").translate(LETTERS))]
+
+    def directly(self, found: re.Match) -> list[int]:
+        letters, marks = found.groups()
+        return self.merged(letters.lower()) + (self.merged(marks) if marks else [])
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(self, text: str) -> list[int]:
+        found = PLAIN.fullmatch(text) if self.short else None
+        return self.directly(found) if found else self.whole(text)
 
     def ids(self, text: bytes) -> array:
         if not self.by_word:
-            return array(self.code, self.encode([text.decode("utf-8", "replace")])[0])
+            return array(self.code, self.whole(text.decode("utf-8", "replace")))
         return array(self.code, b"".join(self.of_words(text.split())))
 
     def of_words(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as bytes."""
-        if len(self.young) > CACHE_WORDS:
-            self.young, self.old = {}, self.young
-        young = self.young
-        if missing := [w for w in set(words) if w not in young]:
-            new = []
-            for w in missing:
-                if (known := self.old.get(w)) is None:
-                    new.append(w)
-                else:
-                    young[w] = known
-            if new:
-                found = self.encode([w.decode("utf-8", "replace") for w in new])
-                young.update((w, array(self.code, ids).tobytes()) for w, ids in zip(new, found))
-        return [young[w] for w in words]
+        if len(self.words) > CACHE_WORDS:
+            self.words = Words(self, dict(self.words))
+        return list(map(self.words.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
