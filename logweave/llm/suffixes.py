@@ -38,6 +38,8 @@ LENGTH, WINNOW, GRAM = 400, 192, 8
 #: Bytes worked on at once, and of one very long text.
 CHUNK, PIECE = 1 << 19, 1 << 23
 LEAD, BUCKET_BYTES = 32, 8 << 20
+#: A task goes through so many buckets, one after the other, and writes one file.
+BUCKETS_A_TASK = 4
 #: Splitters come from one document in SAMPLE_ONE_IN, and from SAMPLE_ROWS suffixes at most.
 SAMPLE_ONE_IN, SAMPLE_ROWS = 16, 20_000
 POSITION = np.uint64((1 << 24) - 1)
@@ -252,7 +254,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, winnow: int = WINNOW)
 
     dealt = rows.select("__key", "__text").mapInArrow(deal, "bucket int, hot boolean, key string, at long, left binary, right binary")
     results = stage(
-        dealt.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(in_bucket, "key string, start long, end long, digest binary"),
+        dealt.repartition(-(-n_buckets // BUCKETS_A_TASK), "bucket").sortWithinPartitions("bucket").mapInArrow(in_bucket, "key string, start long, end long, digest binary"),
         "spans",
     )
     across = results.where("digest is not null")
