@@ -9,8 +9,9 @@ Two Bloom filters first drop anchors whose next bytes, the part common to all st
 anchor, occur once. The other suffixes are dealt into buckets by splitters on their leading bytes,
 drawn from a sample. A bucket sorts its suffixes by multikey quicksort, and the bytes before them
 likewise, and reads from common prefix lengths which strings repeat. Leading bytes so frequent
-that splitters repeat are dealt over several buckets; their strings are compared across those
-boundaries by a grouping of 128-bit digests, so no bucket grows with a hot string.
+that splitters repeat are dealt over several buckets; what does not repeat inside one of them is
+compared across their boundaries by a grouping of 128-bit digests, to which each bucket adds the
+strings that do repeat, once. So no bucket grows with a hot string.
 
 Edge cases: null and empty texts, and texts shorter than ``length``, lose nothing; texts of any
 length are taken whole, and matches never cross texts; rows equal in id and text repeat each
@@ -239,18 +240,31 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, winnow: int = WINNOW)
                 continue
             keys, at = own.column("key").to_pylist(), own.column("at").to_numpy()
             left, right = own.column("left").to_pylist(), own.column("right").to_pylist()
-            if cold:
-                row, start, end = spans_of(repeated_strings(left, right, length), at, length)
-                yield spans([keys[i] for i in row], start, end, [None] * len(row))
-            else:
-                for k, p, x, y in zip(keys, at.tolist(), left, right):
-                    whole = x + y
-                    starts = range(p - len(x), p - (length - len(y)) + 1)
-                    digests = [xxhash.xxh3_128_digest(whole[i : i + length]) for i in range(len(starts))]
-                    yield spans([k] * len(digests), np.array(starts), np.array(starts) + length, digests)
+            found = repeated_strings(left, right, length)
+            row, start, end = spans_of(found, at, length)
+            yield spans([keys[i] for i in row], start, end, [None] * len(row))
+            if not cold:
+                yield from across_boundaries(found, keys, at.tolist(), left, right)
+
+    def across_boundaries(found, keys, at, left, right) -> Iterator[pa.RecordBatch]:
+        """Strings that no other row of this bucket holds, with their place; and without one, each
+        string that repeats here, as a witness for the other buckets."""
+        witnesses: set[bytes] = set()
+        for k, p, x, y, here in zip(keys, at, left, right, found):
+            whole, starts, digests = x + y, [], []
+            for taken in range(length - len(y), len(x) + 1):
+                digest = xxhash.xxh3_128_digest(whole[len(x) - taken : len(x) - taken + length])
+                if here[taken]:
+                    witnesses.add(digest)
+                else:
+                    starts.append(p - taken)
+                    digests.append(digest)
+            if starts:
+                yield spans([k] * len(starts), np.array(starts), np.array(starts) + length, digests)
+        yield spans([None] * len(witnesses), np.zeros(len(witnesses)), np.zeros(len(witnesses)), list(witnesses))
 
     def spans(keys: list[str], start: np.ndarray, end: np.ndarray, digests: list) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(keys, pa.string()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(digests, pa.binary())], ["key", "start", "end", "digest"])
+        return pa.record_batch([pa.array(keys, pa.string()), pa.array(np.asarray(start, np.int64)), pa.array(np.asarray(end, np.int64)), pa.array(digests, pa.binary())], ["key", "start", "end", "digest"])
 
     dealt = rows.select("__key", "__text").mapInArrow(deal, "bucket int, hot boolean, key string, at long, left binary, right binary")
     results = stage(
@@ -259,7 +273,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, winnow: int = WINNOW)
     )
     across = results.where("digest is not null")
     again = across.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    sure = results.where("digest is null").unionByName(across.join(again, "digest").select(*results.columns))
+    single = across.where("key is not null").join(again, "digest").select(*results.columns)
+    sure = results.where("digest is null").unionByName(single)
     return sure.select(F.col("key").alias("__key"), "start", "end")
 
 
