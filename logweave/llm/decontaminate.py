@@ -23,7 +23,7 @@ from logweave.llm.common import ascii_lower, broadcast_if_small, row_key, stage
 
 WIDTH = 13
 #: Lists intersected per window: those of its rarest terms.
-ANCHORS = 3
+ANCHORS = 2
 #: A document is contaminated if at least one of this many words is hit.
 HIT_SHARE = 20
 
@@ -40,7 +40,8 @@ def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 
 def windows(benchmark: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
-    """Different windows (phrase, words) and which items hold them (phrase, item_id)."""
+    """Different windows (window, phrase, words), numbered, and which items hold them (phrase,
+    item_id). Both are as small as the benchmark."""
     items = benchmark.select("item_id", terms_of(F.col("text")).alias("w")).where(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - width + 1, F.lit(1)))
     held = stage(
@@ -50,7 +51,8 @@ def windows(benchmark: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFr
         .distinct(),
         "windows",
     )
-    return held.select("phrase", "words").distinct(), held.select("phrase", "item_id")
+    numbered = held.select("phrase", "words").distinct().withColumn("window", F.monotonically_increasing_id())
+    return stage(numbered, "numbered-windows"), held.select("phrase", "item_id")
 
 
 def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -59,14 +61,14 @@ def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return exploded.join(broadcast_if_small(vocabulary, F.octet_length("term")), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
 
 
-def anchors(distinct_windows: DataFrame, counts: DataFrame, most: int = ANCHORS) -> DataFrame:
-    """(phrase, term, offset, no, wanted) of the rarest terms of every window that can occur."""
-    parts = distinct_windows.select("phrase", F.size("words").alias("len"), F.posexplode("words").alias("offset", "term"))
-    known = parts.groupBy("phrase", "term", "len").agg(F.min("offset").alias("offset"), F.count("*").alias("times")).join(counts, "term")
-    of_window = Window.partitionBy("phrase")
+def anchors(numbered: DataFrame, counts: DataFrame, most: int = ANCHORS) -> DataFrame:
+    """(window, term, offset, no, wanted) of the rarest terms of every window that can occur."""
+    parts = numbered.select("window", F.size("words").alias("len"), F.posexplode("words").alias("offset", "term"))
+    known = parts.groupBy("window", "term", "len").agg(F.min("offset").alias("offset"), F.count("*").alias("times")).join(counts, "term")
+    of_window = Window.partitionBy("window")
     ranked = known.withColumn("found", F.sum("times").over(of_window)).where("found = len")
     ranked = ranked.withColumn("no", F.row_number().over(of_window.orderBy("n", "term")) - 1).where(F.col("no") < most)
-    return ranked.withColumn("wanted", F.count("*").over(of_window)).select("phrase", "term", "offset", "no", "wanted")
+    return ranked.withColumn("wanted", F.count("*").over(of_window)).select("window", "term", "offset", "no", "wanted")
 
 
 def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
@@ -78,15 +80,15 @@ def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
 
 
 def phrase_candidates(index: DataFrame, anchor: DataFrame) -> DataFrame:
-    """(phrase, key, start) where all shifted lists of a window's anchors agree."""
-    shifted = index.join(broadcast_if_small(anchor, F.octet_length("term") + F.octet_length("phrase")), "term")
+    """(window, key, start) where all shifted lists of a window's anchors agree."""
+    shifted = index.join(broadcast_if_small(anchor, F.octet_length("term")), "term")
     return (
         shifted.withColumn("start", F.col("position") - F.col("offset"))
         .where("start >= 0")
-        .groupBy("phrase", "__key", "start", "wanted")
+        .groupBy("window", "__key", "start", "wanted")
         .agg(F.bit_or(F.expr("shiftleft(1, no)")).alias("seen"))
         .where(F.col("seen") == F.expr("shiftleft(1, int(wanted)) - 1"))
-        .select("phrase", "__key", "start")
+        .select("window", "__key", "start")
     )
 
 
@@ -118,7 +120,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, key
     vocabulary = stage(distinct_windows.select(F.explode("words").alias("term")).distinct(), "vocabulary")
     chosen = stage(anchors(distinct_windows, term_counts(rows, vocabulary)), "anchors")
     index = postings(rows, stage(chosen.select("term").distinct(), "anchor-terms"))
-    candidates = phrase_candidates(index, chosen).groupBy("__key").agg(F.collect_list(F.struct("start", "phrase")).alias("c"))
+    phrases = broadcast_if_small(distinct_windows.select("window", "phrase"), F.octet_length("phrase"))
+    candidates = phrase_candidates(index, chosen).join(phrases, "window").groupBy("__key").agg(F.collect_list(F.struct("start", "phrase")).alias("c"))
 
     # One pass over the texts counts all words and compares the candidates, whole phrase by phrase.
     w = F.col("w")

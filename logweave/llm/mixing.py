@@ -103,10 +103,13 @@ def repetitions(sized: DataFrame, weights: list[float], max_epochs: int, seed: i
 
 
 def mix(docs: DataFrame, weights: list[float], max_epochs: int, seed: int = 0, text: str = "text") -> DataFrame:
-    """The mixed documents: every row of ``docs`` as often as its source's target asks for."""
-    sized = stage(docs.withColumn("size", size_in_words(F.col(text))), "sized")
+    """The mixed documents: every row of ``docs`` as often as its source's target asks for. Sizes are
+    counted in each pass, so that no copy of the texts is stored."""
+    rest = {c: f"__in_{c}" for c in docs.columns if c in ("size", "source_size", "target", "copies")}
+    sized = docs.withColumnsRenamed(rest).withColumn("size", size_in_words(F.col(text)))
     repeated = repetitions(sized, weights, max_epochs, seed).where(F.col("copies") > 0)
-    return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    again = repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("size", "source_size", "target", "copies")
+    return again.withColumnsRenamed({v: k for k, v in rest.items()}).select(*docs.columns)
 
 
 def mix_report(docs: DataFrame, weights: list[float], max_epochs: int, seed: int = 0, text: str = "text") -> DataFrame:

@@ -174,9 +174,10 @@ def quality_report(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that the rules keep, with their columns."""
+    """The documents that the rules keep, with their columns. The counts are made twice, for the
+    patterns and for the verdicts, so that no copy of the texts is stored."""
     added = [*COUNTS, "posterior", "base_failed", "kept"]
     names = {c: f"__in_{c}" for c in docs.columns if c in added and c != text}
-    counted = stage(features(docs.withColumnsRenamed(names), text), "counts")
+    counted = features(docs.withColumnsRenamed(names), text)
     back = {v: k for k, v in names.items()}
     return judge(counted).where("kept").drop(*added).withColumnsRenamed(back).select(*docs.columns)

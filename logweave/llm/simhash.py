@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import python_ready, small_batches, stage
+from logweave.llm.common import python_ready, row_key, small_batches, stage
 from logweave.llm.components import connect, spanning_labels
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -209,9 +209,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row of the smallest key of every group of near duplicates, with its columns. Rows that
-    share that key count as one group too; one of them stays."""
-    numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    prints = stage(fingerprints(numbered.select(F.struct(F.col(key).isNull(), F.col(key), F.col("__row")).alias("__id"), text), "__id", text), "prints")
-    stays = classes(prints, "__id").select(F.col("component_id")["__row"].alias("__row")).distinct()
-    return numbered.join(stays, "__row", "left_semi").select(*docs.columns)
+    """The row of the smallest key of every group of near duplicates, with its columns; of rows with
+    that key the one with the smallest text hash, and of rows equal in both any one."""
+    named = docs.withColumn("__row", row_key(key, text))
+    rank = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.col("__row").alias("row"))
+    prints = stage(fingerprints(named.select(rank.alias("__id"), text), "__id", text), "prints")
+    stays = stage(classes(prints, "__id").select(F.col("component_id")["row"].alias("__row")).distinct(), "stays")
+    kept = named.join(stays, "__row", "left_semi")
+    repeated = prints.groupBy(F.col("__id")["row"].alias("__row")).count().where("count > 1").select("__row")
+    repeated = stage(repeated.join(stays, "__row", "left_semi"), "repeated")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, "__row", "left_semi").dropDuplicates(["__row"])
+        kept = kept.join(repeated, "__row", "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
