@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 Layout = list[tuple[str, str]]
 
@@ -92,3 +93,13 @@ def decode_layout(df: DataFrame, value: str, layout: Layout, ok: str = "decoded_
         fields[name] = F.nullif(field, F.lit("")) if kind == "string_or_null" else field
     split = df.withColumn("__parts", split_layout(F.col(value), layout))
     return split.withColumns(fields | {ok: F.col("__parts").isNotNull()}).drop("__parts")
+
+
+def decode_json(df: DataFrame, value: str, schema: str | StructType, ok: str = "decoded_ok") -> DataFrame:
+    """``df`` plus the fields of a JSON value by a user's schema, and whether it could be read; works
+    on streams too. Any other format is an expression or a ``pandas_udf`` on the value column."""
+    parsed = df.withColumn("__json", F.from_json(bytes_to_text(F.col(value)), schema, {"mode": "PERMISSIVE"}))
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    found = {f.name: F.col("__json")[f.name] for f in fields}
+    readable = F.col("__json").isNotNull() & F.coalesce(*[c.isNotNull() for c in found.values()])
+    return parsed.withColumns(found | {ok: readable}).drop("__json")

@@ -61,7 +61,12 @@ def interval_start(time: Column, interval: str, origin: str = "0 seconds") -> Co
 
 
 def commit_by_interval(acks: DataFrame, interval: str, origin: str = "0 seconds") -> DataFrame:
-    """A cycle per interval in which something was acknowledged."""
+    """A cycle per interval in which something was acknowledged. A stream with a watermark on
+    ``ack_time`` is grouped by the window itself, so closed intervals are appended and forgotten."""
+    if acks.isStreaming:
+        window = F.window("ack_time", interval, startTime=origin).alias("__w")
+        cycles = acks.groupBy("member_id", window, *TP).agg((LAST("offset", "ack_seq") + 1).alias("commit_offset"), F.count(F.lit(1)).alias("acks"))
+        return cycles.select("member_id", F.col("__w")["start"].alias("tick"), *TP, "commit_offset", "acks")
     ticked = acks.withColumn("tick", interval_start(F.col("ack_time"), interval, origin))
     return _per_cycle(ticked, ["tick"])
 

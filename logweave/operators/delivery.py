@@ -11,7 +11,7 @@ from logweave.plans.small import attach
 from logweave.schema import TP
 
 
-def at_most_once_ledger(log: DataFrame, ahead: int, contiguous: bool = False) -> DataFrame:
+def at_most_once_ledger(log: DataFrame, ahead: int, contiguous: bool | None = None) -> DataFrame:
     """How each offset is committed *before* its record is dispatched.
 
     With ``c`` the last committed value (-1 at the start): ``offset >= c`` commits and waits
@@ -20,9 +20,17 @@ def at_most_once_ledger(log: DataFrame, ahead: int, contiguous: bool = False) ->
     to complete at once. ``committed`` is the value in force when the record is dispatched.
 
     Without offset gaps the previous record always commits, so ``c = offset + ahead`` and the
-    ledger is a projection (``contiguous=True``). With gaps a record may commit nothing and
-    decisions form a chain, which is walked block by block.
+    ledger is a projection. With gaps a record may commit nothing and decisions form a chain,
+    which is walked block by block. Which of the two holds is looked up, one aggregate over the
+    offsets; ``contiguous=False`` walks without looking, ``contiguous=True`` insists on no gaps and
+    raises if there are any.
     """
+    if contiguous is not False:
+        spans = log.groupBy(*TP).agg((F.max("offset") - F.min("offset") + 1 - F.count(F.lit(1))).alias("gaps"))
+        gaps = spans.agg(F.max("gaps")).first()[0] or 0
+        if gaps and contiguous:
+            raise ValueError("offsets have gaps: control entries, or a filtered log")
+        contiguous = not gaps
     value = F.col("offset") + ahead + 1
     if contiguous:
         first = log.groupBy(*TP).agg(F.min("offset").alias("__first"))

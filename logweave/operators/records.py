@@ -15,8 +15,9 @@ from logweave.plans.small import attach
 from logweave.schema import TP
 from logweave.session import ship_package, slice_width
 
-#: Above this a per-group row limit is not pushed below the shuffle by Spark.
+#: Spark pushes a per-group row limit below the shuffle up to its own threshold; never more than this.
 LIMIT_PUSHED = 1000
+PUSH_THRESHOLD = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def record_metadata(log: DataFrame) -> DataFrame:
@@ -78,44 +79,91 @@ def process_by_partition(
     summary: Callable[[pd.DataFrame], object] | None = None,
     combine: Callable[[object, object], object] | None = None,
     initial: object = None,
+    stateless: bool = False,
+    opening: DataFrame | None = None,
 ) -> DataFrame:
-    """Run ``step`` over every partition in offset order.
+    """Run ``step`` over every partition of a bounded log in offset order.
 
     A call sees one slice of consecutive records, sorted by offset, and the state that enters
     it. State is described by ``summary`` (slice -> its own contribution) and an associative
     ``combine`` - so slices of a hot partition run in parallel and no task holds a partition.
-    Both return plain JSON values; without them the state is always ``initial``.
+    Both return plain JSON values. The states of all slices of one partition meet in a task: one
+    JSON value per slice, never records. ``opening(topic, partition, state)`` replaces ``initial``
+    where it names a partition; ``state`` is JSON.
+
+    A step whose result does not depend on other records has no state; it must say so by
+    ``stateless``, as where slices begin would otherwise decide the result. For streams see
+    ``streaming.stateful.by_partition``.
     """
+    if log.isStreaming:
+        raise ValueError("a stream has no bounded partitions: use streaming.stateful.by_partition")
+    if stateless != (summary is None) or (summary is None) != (combine is None):
+        raise ValueError("give summary and combine, or stateless=True")
     ship_package(log.sparkSession)
-    width = slice_width(log.sparkSession)
-    sliced = log.withColumn("__slice", div(F.col("offset"), width))
     keys = [*TP, "__slice"]
-    if summary is None:
+    sliced = _sliced(log)
+    if stateless:
         return sliced.groupBy(*keys).applyInPandas(
             lambda pdf: step(pdf.sort_values("offset").drop(columns="__slice"), initial), schema
         )
 
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = {k: [pdf[k].iloc[0]] for k in keys}
-        return pd.DataFrame(head | {"__state": [json.dumps(summary(pdf.sort_values("offset")))]})
-
     def carry(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__slice")
         state, entering = initial, []
-        for own in pdf["__state"]:
+        for number, own in zip(pdf["__slice"], pdf["__state"]):
             entering.append(json.dumps(state))
-            state = combine(state, json.loads(own))
+            state = json.loads(own) if number < 0 else combine(state, json.loads(own))
         return pdf.assign(__state=entering)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         state = json.loads(pdf["__state"].iloc[0])
         return step(pdf.sort_values("offset").drop(columns=["__slice", "__state"]), state)
 
-    states = "topic string, partition int, __slice long, __state string"
-    carried = sliced.groupBy(*keys).applyInPandas(summarise, states).groupBy(*TP).applyInPandas(carry, states)
+    carried = _slice_states(sliced, summary, opening).groupBy(*TP).applyInPandas(carry, SLICE_STATES)
     return sliced.join(carried, keys).groupBy(*keys).applyInPandas(run, schema)
 
 
+SLICE_STATES = "topic string, partition int, __slice long, __state string"
+
+
+def _sliced(log: DataFrame) -> DataFrame:
+    return log.withColumn("__slice", div(F.col("offset"), slice_width(log.sparkSession)))
+
+
+def _slice_states(sliced: DataFrame, summary: Callable[[pd.DataFrame], object], opening: DataFrame | None) -> DataFrame:
+    """Contribution of every slice; an opening state is slice -1."""
+
+    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
+        head = {k: [pdf[k].iloc[0]] for k in [*TP, "__slice"]}
+        own = pdf.sort_values("offset").drop(columns="__slice")
+        return pd.DataFrame(head | {"__state": [json.dumps(summary(own))]})
+
+    states = sliced.groupBy(*TP, "__slice").applyInPandas(summarise, SLICE_STATES)
+    if opening is None:
+        return states
+    return states.unionByName(opening.select(*TP, F.lit(-1).cast("long").alias("__slice"), F.col("state").alias("__state")))
+
+
+def partition_states(
+    log: DataFrame,
+    summary: Callable[[pd.DataFrame], object],
+    combine: Callable[[object, object], object],
+    initial: object = None,
+    opening: DataFrame | None = None,
+) -> DataFrame:
+    """``(topic, partition, state)`` after all records of ``log``; partitions that only ``opening``
+    names keep their state."""
+    ship_package(log.sparkSession)
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        state = initial
+        for number, own in pdf.sort_values("__slice")[["__slice", "__state"]].itertuples(index=False):
+            state = json.loads(own) if number < 0 else combine(state, json.loads(own))
+        return pdf[TP].head(1).assign(state=json.dumps(state))
+
+    return _slice_states(_sliced(log), summary, opening).groupBy(*TP).applyInPandas(total, "topic string, partition int, state string")
+
+
 def sample_latest(log: DataFrame, period: str) -> DataFrame:
     """The record with the highest offset per partition and period; idle periods give nothing.
     Periods count from the epoch.
@@ -135,7 +183,7 @@ def sample_latest(log: DataFrame, period: str) -> DataFrame:
 
 def take(df: DataFrame, n: int, member: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first ``n`` rows of every member stream."""
-    if n <= LIMIT_PUSHED:
+    if n <= min(LIMIT_PUSHED, int(df.sparkSession.conf.get(PUSH_THRESHOLD))):
         ranked = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*member).orderBy(*order)))
         return ranked.where(F.col("__rn") <= n).drop("__rn")
     return positions(df, member, order, "__rn").where(F.col("__rn") < n).drop("__rn")

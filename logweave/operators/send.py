@@ -3,7 +3,7 @@
 A request row has ``sender_id, seq, topic, partition, timestamp, key, value, headers``,
 a ``correlation`` of any type that is not part of the log entry, and ``error``: null, or the
 name of the exception this send meets (see :func:`check_topics`). One sender sends one request
-at a time in ``seq`` order; ``seq`` is a counter, unique over the requests of a partition.
+at a time in ``seq`` order; ``seq`` is a counter, unique over the requests of a sender.
 """
 
 from __future__ import annotations
@@ -31,13 +31,19 @@ def check_topics(requests: DataFrame, topics: Iterable[str]) -> DataFrame:
 
 
 def assign_offsets(
-    requests: DataFrame, ends: DataFrame | None = None, order: Sequence[str] = ("seq",), slice_by=None
+    requests: DataFrame, ends: DataFrame | None = None, order: Sequence[str] = ("seq",), slice_by=None, senders: int = 1
 ) -> DataFrame:
     """``requests`` plus ``offset``: end offset of the partition + arrival rank.
 
     Failed requests get null and take up no offset. ``ends(topic, partition, end_offset)``
-    describes a log that already has entries.
+    describes a log that already has entries. Senders that count for themselves may use one
+    ``seq`` several times in a partition; then the sender decides, and ``senders``, the number of
+    them, narrows the slices accordingly.
     """
+    if "sender_id" in requests.columns and "sender_id" not in order:
+        width = max(1, slice_width(requests.sparkSession) // senders)
+        slice_by = slice_by or [div(F.col(order[0]).cast("long"), width)]
+        order = (*order, "sender_id")
     sent = F.col("error").isNull()
     ranked = running(
         requests, TP, order, [Running("__rank", "sum", sent.cast("long"), inclusive=False)], slice_by
@@ -97,7 +103,11 @@ def continue_on_error(requests: DataFrame) -> DataFrame:
 
 
 def send_status(requests: DataFrame) -> DataFrame:
-    """The overall outcome per sender: counts and the first error (null = success)."""
+    """The overall outcome per sender: counts over what was attempted, which ends with the first
+    fatal error, and the first error (null = success)."""
+    fatal = requests.where(F.col("error").isin(*FATAL)).groupBy("sender_id").agg(F.min("seq").alias("__cut"))
+    requests = attach(requests, fatal, ["sender_id"], spread=["seq"])
+    requests = requests.where(F.col("__cut").isNull() | (F.col("seq") <= F.col("__cut"))).drop("__cut")
     failed = F.col("error").isNotNull()
     counts = requests.groupBy("sender_id").agg(
         F.count(F.lit(1)).alias("requests"), F.count_if(failed).alias("failed")

@@ -49,8 +49,16 @@ def _rates(elapsed_ms: Column) -> dict[str, Column]:
     }
 
 
-def window_throughput(sends: DataFrame, millis: int = 5000) -> DataFrame:
-    """Count, rates and latency per fixed window of completion time (windows from the epoch)."""
+def window_throughput(sends: DataFrame, millis: int = 5000, time: str | None = None) -> DataFrame:
+    """Count, rates and latency per fixed window of completion time (windows from the epoch).
+
+    A stream that names its event-time column ``time`` (the end of the send, with a watermark)
+    is grouped by that column's window, so closed windows can be appended and forgotten.
+    """
+    if time is not None:
+        window = F.window(time, f"{millis} milliseconds").alias("__w")
+        summed = sends.groupBy(window).agg(*_sums()).withColumn("window_start_ms", F.unix_millis(F.col("__w")["start"]))
+        return summed.withColumns(_rates(F.lit(millis))).drop("__w", "__bytes", "__latency")
     start = F.col("end_ms") - F.pmod(F.col("end_ms"), F.lit(millis))
     return (
         sends.groupBy(start.alias("window_start_ms"))
@@ -104,27 +112,16 @@ def payload_bytes() -> Column:
 def consumer_progress(consumed: DataFrame, block: int = BLOCK_MESSAGES) -> DataFrame:
     """Progress of every member after each ``block`` messages (the last block may be short).
 
-    ``consumed(member_id, delivery_seq, bytes, time_ms)``.
+    ``consumed(member_id, delivery_seq, bytes, time_ms)``; ``delivery_seq`` counts the messages of
+    a member from 0, so blocks are plain groups and only they are put in order.
     """
-    scanned = running(
-        consumed,
-        ["member_id"],
-        ["delivery_seq"],
-        [
-            Running("__rank", "sum", F.lit(1).cast("long"), inclusive=False),
-            Running("__bytes", "sum", F.col("bytes").cast("long")),
-        ],
+    blocks = consumed.groupBy("member_id", div(F.col("delivery_seq"), block).alias("block_no")).agg(
+        F.count(F.lit(1)).alias("block_messages"), F.max("time_ms").alias("time_ms"), F.sum(F.col("bytes").cast("long")).alias("__own")
     )
-    return (
-        scanned.groupBy("member_id", div(F.col("__rank"), block).alias("block_no"))
-        .agg(
-            F.count(F.lit(1)).alias("block_messages"),
-            F.max("time_ms").alias("time_ms"),
-            (F.max("__rank") + 1).alias("messages"),
-            (F.max("__bytes") / F.lit(MIB)).alias("mb"),
-            (F.sum("bytes") / F.lit(MIB)).alias("block_mb"),
-        )
+    summed = running(
+        blocks, ["member_id"], ["block_no"], [Running("messages", "sum", F.col("block_messages")), Running("__bytes", "sum", F.col("__own"))]
     )
+    return summed.withColumns({"mb": F.col("__bytes") / F.lit(MIB), "block_mb": F.col("__own") / F.lit(MIB)}).drop("__bytes", "__own")
 
 
 def consumer_totals(log: DataFrame, elapsed_ms: Column | None = None) -> DataFrame:
@@ -151,16 +148,32 @@ def latency_summary(sent: DataFrame, received: DataFrame, on: str, by: Sequence[
 
 
 def integrity_check(sent: DataFrame, received: DataFrame, on: str, payload: str) -> DataFrame:
-    """Messages not received exactly once and unchanged, with the reason. Copies of one message
-    are combined before the shuffle."""
+    """Messages not received as often as sent and unchanged, with the reason and one flag per fault:
+    a message can be received too often *and* changed. Copies of one message are combined before
+    the shuffle."""
+    return (
+        integrity_flags(sent, received, on, payload)
+        .where(F.col("missing") | F.col("unexpected") | F.col("duplicate") | F.col("mismatched"))
+        .withColumn(
+            "status",
+            F.when(F.col("missing"), "missing").when(F.col("unexpected"), "unexpected").when(F.col("duplicate"), "duplicate").otherwise("mismatched"),
+        )
+        .select(on, "sent", "received", "status")
+    )
+
+
+def integrity_flags(sent: DataFrame, received: DataFrame, on: str, payload: str) -> DataFrame:
+    """Per message how often it was sent and received, and whether copies are ``missing``,
+    ``unexpected`` (never sent), ``duplicate`` or ``mismatched`` (some copy has another payload)."""
     sides = sent.select(on, F.col(payload).alias("__sent"), F.lit(None).cast(sent.schema[payload].dataType).alias("__got"), F.lit(1).alias("__s"), F.lit(0).alias("__r"))
     other = received.select(on, F.lit(None).cast(sent.schema[payload].dataType).alias("__sent"), F.col(payload).alias("__got"), F.lit(0).alias("__s"), F.lit(1).alias("__r"))
-    status = (
-        F.when(F.col("received") == 0, "missing")
-        .when(F.col("sent") == 0, "unexpected")
-        .when(F.col("received") > F.col("sent"), "duplicate")
-        .when(~(F.col("__lo").eqNullSafe(F.col("__want")) & F.col("__hi").eqNullSafe(F.col("__want"))), "mismatched")
-    )
+    differs = ~(F.col("__lo").eqNullSafe(F.col("__want")) & F.col("__hi").eqNullSafe(F.col("__want")))
+    flags = {
+        "missing": F.col("received") < F.col("sent"),
+        "unexpected": F.col("sent") == 0,
+        "duplicate": (F.col("sent") > 0) & (F.col("received") > F.col("sent")),
+        "mismatched": (F.col("sent") > 0) & (F.col("received") > 0) & differs,
+    }
     return (
         sides.unionByName(other)
         .groupBy(on)
@@ -171,9 +184,8 @@ def integrity_check(sent: DataFrame, received: DataFrame, on: str, payload: str)
             F.min("__got").alias("__lo"),
             F.max("__got").alias("__hi"),
         )
-        .withColumn("status", status)
-        .where(F.col("status").isNotNull())
-        .select(on, "sent", "received", "status")
+        .withColumns(flags)
+        .select(on, "sent", "received", *flags)
     )
 
 

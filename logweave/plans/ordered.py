@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logweave.schema import TP
 from logweave.session import slice_width
 
 
@@ -96,17 +97,23 @@ def running(
 
     ``slice_by`` gives the slice as columns that never decrease along ``order`` (default: the
     first order column, an integer counter, divided by the configured slice width).
-    Group columns must not be null.
+    Rows whose group columns are null form a group like any other.
     """
     if slice_by is None:
         slice_by = [div(F.col(order[0]).cast("long"), slice_width(df.sparkSession))]
     keys = [f"__slice{i}" for i in range(len(slice_by))]
     sliced = df.withColumns(dict(zip(keys, slice_by)))
-    whole = [*by, *keys]
+    group = list(by)
+    if set(by) - set(TP):
+        # structs that hold nulls are equal to each other, plain nulls are not; the entries of a
+        # log always have a topic and a partition
+        sliced = sliced.withColumn("__group", F.struct(*by))
+        group = ["__group"]
+    whole = [*group, *keys]
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
     totals = sliced.groupBy(*whole).agg(*[m.total(position).alias(f"__c_{m.name}") for m in measures])
-    every = Window.partitionBy(*by)
+    every = Window.partitionBy(*group)
     before = every.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     carries = totals.select(
         *whole, *[m.carry(F.col(f"__c_{m.name}"), before, every).alias(f"__c_{m.name}") for m in measures]

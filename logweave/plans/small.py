@@ -64,7 +64,10 @@ def attach(
 def salted(
     big: DataFrame, small: DataFrame, on: list[str], how: str = "left", spread: list[str] | None = None
 ) -> DataFrame:
-    """Shuffle join on ``on`` plus a salt: ``small`` is repeated per salt, ``big`` is not."""
+    """Shuffle join on ``on`` plus a salt: ``small`` is repeated per salt, ``big`` is not. A key that
+    contains the offset belongs to one record and needs no salt."""
+    if "offset" in on:
+        return big.join(small, on, how)
     if spread is None:
         spread = ["offset"] if "offset" in big.columns else big.columns
     left = big.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))

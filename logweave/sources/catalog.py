@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweave.plans.small import attach
+from logweave.plans.small import attach, settle
 from logweave.schema import TP
 
 
@@ -36,11 +36,16 @@ def _first_at_or_after(limit: Column) -> Column:
 
 
 def offsets_for_time(log: DataFrame, at: datetime | str) -> DataFrame:
-    """Per partition the earliest offset stamped at or after ``at``, else the end offset."""
-    limit = F.lit(at).cast("timestamp")
-    return log.groupBy(*TP).agg(
-        F.coalesce(_first_at_or_after(limit), F.max("offset") + 1).alias("start_offset")
-    )
+    """Per partition the earliest offset stamped at or after ``at``, else the end offset.
+
+    The time filter reaches the scan; ends are looked up only in partitions without such an entry.
+    """
+    late = log.where(F.col("timestamp") >= F.lit(at).cast("timestamp"))
+    found = late.groupBy(*TP).agg(F.min("offset").alias("start_offset"))
+    located = settle(list_partitions(log).join(found, TP, "left"))
+    rest = located.where(F.col("start_offset").isNull()).select(*TP)
+    ends = attach(log.select(*TP, "offset"), rest, TP, "left_semi").groupBy(*TP).agg((F.max("offset") + 1).alias("start_offset"))
+    return located.where(F.col("start_offset").isNotNull()).unionByName(ends)
 
 
 def offsets_for_times(log: DataFrame, targets: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from logweave.plans.small import attach
 from logweave.schema import TP
+from logweave.sources.starts import read_from
 
 
 def read_uncommitted(log: DataFrame) -> DataFrame:
@@ -53,7 +54,15 @@ def read_committed(log: DataFrame, txns: DataFrame, stable: DataFrame | None = N
     return attach(visible, aborted, ["txn_id"], "left_anti").select(*log.columns)
 
 
-def read(log: DataFrame, txns: DataFrame | None = None, isolation: str = "read_uncommitted") -> DataFrame:
+def read(
+    log: DataFrame, txns: DataFrame | None = None, isolation: str = "read_uncommitted", starts: DataFrame | None = None
+) -> DataFrame:
+    """The selected topic-partitions as a reader of that level gets them, from the positions of a
+    start map on if one is given. ``log`` must be the whole selection: an open transaction that
+    began before the start holds back what follows it all the same, so stable offsets are found
+    first and the start is applied afterwards."""
+    if starts is not None:
+        return read_from(read(log, txns, isolation), starts)
     if isolation == "read_uncommitted":
         return read_uncommitted(log)
     if isolation == "read_committed":

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from logweave.plans.small import bounded, local, salted
 from logweave.schema import TP
-from logweave.sources.catalog import latest_commits, offsets_for_time, topic_bounds
+from logweave.sources.catalog import latest_commits, list_partitions, offsets_for_time, topic_bounds
 
 #: Start maps up to this many partitions become a filter that reaches the parquet scan.
 LITERAL_PARTITIONS = 128
@@ -33,24 +33,47 @@ def _literal(starts: list[dict]) -> Column:
     return reduce(lambda a, b: a | b, parts, F.lit(False))
 
 
-def read_from(log: DataFrame, starts: DataFrame) -> DataFrame:
-    """Entries at or past the start offset of their partition.
+def read_from(log: DataFrame, starts: DataFrame, unlisted: str | None = None) -> DataFrame:
+    """Entries at or past the start offset of their partition; of several offsets given for one
+    partition the smallest counts.
+
+    ``unlisted`` says what happens to partitions the map does not name: ``drop``, the default for
+    a bounded log, or ``read`` from their first entry, the default for a stream, where they are
+    partitions that appeared after the map was made.
 
     A small start map turns into literals: the scan then skips directories and row groups.
     Otherwise the map is joined - broadcast within the checked limit, salted beyond it.
     """
-    table = bounded(starts.select(*TP, "start_offset"))
+    unlisted = unlisted or ("read" if log.isStreaming else "drop")
+    if unlisted not in ("read", "drop"):
+        raise ValueError(f"unknown policy {unlisted!r} for unlisted partitions")
+    starts = starts.groupBy(*TP).agg(F.min("start_offset").alias("start_offset"))
+    table = bounded(starts)
     if table is not None and table.num_rows <= LITERAL_PARTITIONS:
-        return log.where(_literal(table.to_pylist()))
-    starts = starts.select(*TP, "start_offset")
-    joined = log.join(local(starts, table), TP) if table is not None else salted(log, starts, TP, "inner")
-    return joined.where(F.col("offset") >= F.col("start_offset")).select(*log.columns)
+        rows = table.to_pylist()
+        past = _literal(rows)
+        return log.where(past if unlisted == "drop" else past | ~_listed(rows))
+    how = "left" if unlisted == "read" else "inner"
+    joined = log.join(local(starts, table), TP, how) if table is not None else salted(log, starts, TP, how)
+    return joined.where(F.col("offset") >= F.coalesce("start_offset", F.lit(0))).select(*log.columns)
+
+
+def _listed(starts: list[dict]) -> Column:
+    by_topic: dict[str, list[int]] = {}
+    for row in starts:
+        by_topic.setdefault(row["topic"], []).append(row["partition"])
+    parts = [(F.col("topic") == topic) & F.col("partition").isin(*partitions) for topic, partitions in by_topic.items()]
+    return reduce(lambda a, b: a | b, parts, F.lit(False))
 
 
 def reset_starts(log: DataFrame, reset: str = "earliest") -> DataFrame:
-    """Begin (``earliest``) or end (``latest``) of every partition."""
-    column = {"earliest": "begin_offset", "latest": "end_offset"}[reset]
-    return topic_bounds(log).select(*TP, F.col(column).alias("start_offset"))
+    """Begin (``earliest``) or end (``latest``) of every partition. The begin is written as 0, which
+    lies at or before every entry, so that only the directories are read for it."""
+    if reset == "earliest":
+        return list_partitions(log).withColumn("start_offset", F.lit(0).cast("long"))
+    if reset != "latest":
+        raise ValueError(f"unknown reset policy {reset!r}")
+    return topic_bounds(log).select(*TP, F.col("end_offset").alias("start_offset"))
 
 
 def seek_to_beginning(log: DataFrame) -> DataFrame:
@@ -72,13 +95,15 @@ def resume(log: DataFrame, commits: DataFrame, group: str, reset: str = "earlies
 
 
 def seek(log: DataFrame, offset: int | DataFrame) -> DataFrame:
-    """One explicit offset for all partitions, or a map ``(topic, partition, start_offset)``.
+    """One explicit offset for all partitions, or a map ``(topic, partition, start_offset)``;
+    partitions the map does not name stay at their begin.
 
     Negative offsets and offsets past the end are errors; the end itself is allowed.
     """
     bounds = topic_bounds(log)
     if isinstance(offset, DataFrame):
-        starts = bounds.join(offset, TP)
+        named = offset.groupBy(*TP).agg(F.min("start_offset").alias("start_offset"))
+        starts = bounds.join(named, TP, "left").withColumn("start_offset", F.coalesce("start_offset", "begin_offset"))
     else:
         starts = bounds.withColumn("start_offset", F.lit(offset).cast("long"))
     wrong = (F.col("start_offset") < 0) | (F.col("start_offset") > F.col("end_offset"))

@@ -66,8 +66,9 @@ class TopicLog:
         return self.reader(max_files).parquet(self.path).where(selection(topics, pattern, assignment))
 
     def append(self, entries: DataFrame) -> None:
-        """Write entries whose offsets are already assigned (see ``operators.send``)."""
-        entries.write.mode("append").partitionBy(*TP).parquet(self.path)
+        """Write entries whose offsets are already assigned (see ``operators.send``), in offset order
+        inside every file."""
+        entries.sortWithinPartitions(*TP, "offset").write.mode("append").partitionBy(*TP).parquet(self.path)
 
 
 def kafka_options(

@@ -31,6 +31,15 @@ def overwrite(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(batch_dir(path, batch_id))
 
 
+def store_state(df: DataFrame, path: str, batch_id: int) -> None:
+    """:func:`overwrite` for state: this version and the one before stay, in case the batch is
+    repeated; older ones go."""
+    overwrite(df, path, batch_id)
+    spark = df.sparkSession
+    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(batch_dir(path, batch_id - 2))
+    old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """What the batch before ``batch_id`` stored; ``None`` for the first batch."""
     return spark.read.parquet(batch_dir(path, batch_id - 1)) if batch_id > 0 else None

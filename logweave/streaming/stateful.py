@@ -1,7 +1,7 @@
 """Operators with state between micro-batches.
 
 State is a small table per batch in the shared folder: batch ``n`` reads what ``n - 1`` left and
-writes its own version, overwriting it if the batch is repeated. All work inside a batch is the
+writes its own version, overwriting it if the batch is repeated; the last two versions stay. All work inside a batch is the
 bounded operator, so a hot partition or sender is as spread out as it is there.
 """
 
@@ -9,16 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logweave.operators.frontier import commit_frontier, mark_acked
+from logweave.operators.records import partition_states, process_by_partition
+from logweave.operators.send import assign_offsets, send_results, to_entries
 from logweave.operators.transactions import anchored_windows
 from logweave.plans.ordered import div, positions
-from logweave.plans.small import attach, settle
+from logweave.plans.small import attach
 from logweave.schema import TP, TPO
 from logweave.sources import isolation
-from logweave.streaming.runs import BatchFunction, overwrite, previous
+from logweave.streaming.runs import BatchFunction, overwrite, previous, store_state
 
 
 def frontier(path: str) -> BatchFunction:
@@ -40,7 +44,7 @@ def frontier(path: str) -> BatchFunction:
             newly = acks.distinct().withColumn("__now", F.lit(True))
             again = held.join(newly, TPO, "left").select(*TPO, (F.col("acked") | F.col("__now").isNotNull()).alias("acked"))
             fresh = again.unionByName(fresh)
-        overwrite(fresh, f"{path}/marked", batch_id)
+        store_state(fresh, f"{path}/marked", batch_id)
         marked = spark.read.parquet(f"{path}/marked/batch_id={batch_id}")
         result = commit_frontier(marked)
         overwrite(result, f"{path}/commits", batch_id)
@@ -48,7 +52,7 @@ def frontier(path: str) -> BatchFunction:
         rest = attach(marked, stored, TP).where(
             F.col("commit_offset").isNull() | (F.col("offset") >= F.col("commit_offset"))
         )
-        overwrite(rest.drop("commit_offset"), f"{path}/pending", batch_id)
+        store_state(rest.drop("commit_offset"), f"{path}/pending", batch_id)
 
     return each
 
@@ -63,13 +67,14 @@ def read_committed(path: str, txns: Callable[[], DataFrame]) -> BatchFunction:
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         held = previous(spark, f"{path}/held", batch_id)
-        overwrite(batch if held is None else batch.unionByName(held), f"{path}/candidates", batch_id)
+        store_state(batch if held is None else batch.unionByName(held), f"{path}/candidates", batch_id)
         candidates = spark.read.parquet(f"{path}/candidates/batch_id={batch_id}")
         markers = txns()
-        stable = settle(isolation.last_stable_offsets(candidates, markers))
+        store_state(isolation.last_stable_offsets(candidates, markers), f"{path}/stable", batch_id)
+        stable = spark.read.parquet(f"{path}/stable/batch_id={batch_id}")
         overwrite(isolation.read_committed(candidates, markers, stable), f"{path}/visible", batch_id)
         waiting = attach(candidates, stable, TP, "inner").where(F.col("offset") >= F.col("stable_offset"))
-        overwrite(waiting.drop("stable_offset"), f"{path}/held", batch_id)
+        store_state(waiting.drop("stable_offset"), f"{path}/held", batch_id)
 
     return each
 
@@ -102,7 +107,7 @@ def anchored(path: str, millis: int, time: str = "timestamp") -> BatchFunction:
         if carry is not None:
             idle = carry.join(now, "sender_id", "left_anti")
             now = now.unionByName(idle)
-        overwrite(now, f"{path}/senders", batch_id)
+        store_state(now, f"{path}/senders", batch_id)
 
     return each
 
@@ -133,7 +138,48 @@ def commits_by_size(path: str, n: int) -> BatchFunction:
         overwrite(cycles, f"{path}/cycles", batch_id)
         counts = spark.read.parquet(f"{path}/cycles/batch_id={batch_id}").groupBy("member_id").agg(F.sum("acks").alias("seen"))
         both = counts if carry is None else carry.unionByName(counts)
-        overwrite(both.groupBy("member_id").agg(F.sum("seen").alias("seen")), f"{path}/members", batch_id)
+        store_state(both.groupBy("member_id").agg(F.sum("seen").alias("seen")), f"{path}/members", batch_id)
+
+    return each
+
+
+def send(path: str, acks: str = "all") -> BatchFunction:
+    """Sending as a stream: requests arrive in ``seq`` order, and offsets go on where the batch before
+    ended. ``<path>/entries`` holds the log entries and ``<path>/results`` a result per request; a
+    repeated batch writes the same ones again. The state is the end offset of every partition.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        ends = previous(spark, f"{path}/ends", batch_id)
+        overwrite(assign_offsets(batch, ends), f"{path}/sent", batch_id)
+        sent = spark.read.schema(batch.schema.add("offset", "long")).parquet(f"{path}/sent/batch_id={batch_id}")
+        overwrite(to_entries(sent), f"{path}/entries", batch_id)
+        overwrite(send_results(sent, acks), f"{path}/results", batch_id)
+        now = sent.where(F.col("offset").isNotNull()).groupBy(*TP).agg((F.max("offset") + 1).alias("end_offset"))
+        both = now if ends is None else ends.unionByName(now)
+        store_state(both.groupBy(*TP).agg(F.max("end_offset").alias("end_offset")), f"{path}/ends", batch_id)
+
+    return each
+
+
+def by_partition(
+    path: str,
+    step: Callable[[pd.DataFrame, object], pd.DataFrame],
+    schema: T.StructType | str,
+    summary: Callable[[pd.DataFrame], object],
+    combine: Callable[[object, object], object],
+    initial: object = None,
+) -> BatchFunction:
+    """``records.process_by_partition`` over a stream whose partitions arrive in offset order.
+
+    ``<path>/rows`` holds what ``step`` returns; the state is one JSON value per partition.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        opening = previous(batch.sparkSession, f"{path}/states", batch_id)
+        overwrite(process_by_partition(batch, step, schema, summary, combine, initial, opening=opening), f"{path}/rows", batch_id)
+        store_state(partition_states(batch, summary, combine, initial, opening), f"{path}/states", batch_id)
 
     return each
 

@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from workload import delivery, flows, measures, scans, sending, streams  # noqa: F401
+from workload import delivery, edges, flows, measures, scans, sending, streams  # noqa: F401
