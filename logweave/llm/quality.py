@@ -178,6 +178,8 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     patterns and for the verdicts, so that no copy of the texts is stored."""
     added = [*COUNTS, "posterior", "base_failed", "kept"]
     names = {c: f"__in_{c}" for c in docs.columns if c in added and c != text}
-    counted = features(docs.withColumnsRenamed(names), text)
+    # Conditions do not move below a number of the row: moved into the counts they would be made of
+    # the text, and split it anew for every word.
+    counted = features(docs.withColumnsRenamed(names), text).withColumn("__row", F.monotonically_increasing_id())
     back = {v: k for k, v in names.items()}
-    return judge(counted).where("kept").drop(*added).withColumnsRenamed(back).select(*docs.columns)
+    return judge(counted).where("kept and __row >= 0").drop(*added).withColumnsRenamed(back).select(*docs.columns)
