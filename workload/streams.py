@@ -25,20 +25,39 @@ PORTIONS = 3
 
 
 def replay(rows: DataFrame, time: str, run: Callable[[str], object], partition_by=()) -> None:
-    """Append ``rows`` to a fresh folder portion by portion and ``run(folder)`` after each."""
+    """Bring ``rows`` into a fresh folder portion by portion and ``run(folder)`` after each. The
+    portions are written in one job and their files moved when it is their turn."""
     spark = rows.sparkSession
-    path = new_dir(spark, "arrivals")
+    path, waiting = new_dir(spark, "arrivals"), new_dir(spark, "portions")
     micros = F.unix_micros(time)
     low, high = rows.agg(F.min(micros), F.max(micros)).first()
+    later = [(micros >= low + (high - low + 1) * k // PORTIONS).cast("int") for k in range(1, PORTIONS)]
+    rows.withColumn("portion", sum(later, F.lit(0))).write.partitionBy("portion", *partition_by).parquet(waiting)
     for i in range(PORTIONS):
-        start, end = (low + (high - low + 1) * k // PORTIONS for k in (i, i + 1))
-        part = rows.where((micros >= start) & (micros < end))
-        part.write.mode("append").partitionBy(*partition_by).parquet(path)
+        arrive(spark, f"{waiting}/portion={i}", path)
         query = run(path)
         if query is not None:
             query.awaitTermination()
 
 
+def arrive(spark, source: str, target: str) -> None:
+    """Move the data files below ``source`` to the same places below ``target``; one writer's files
+    in several portions have equal names, so they get the number of theirs in front."""
+    new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = new_path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(new_path(target))
+    if not files.exists(new_path(source)):
+        return
+    base = files.makeQualified(new_path(source)).toString()
+    found = files.listFiles(new_path(source), True)
+    while found.hasNext():
+        file = found.next().getPath()
+        folder_of = new_path(target + file.getParent().toString()[len(base) :])
+        files.mkdirs(folder_of)
+        if not files.rename(file, new_path(folder_of, f"{source.rsplit('=', 1)[1]}-{file.getName()}")):
+            raise OSError(f"cannot move {file}")
+
+
 def replay_log(spark, sf, run: Callable[[TopicLog], object]) -> None:
     log = fx.event_log(spark, sf)
     replay(log, "timestamp", lambda path: run(TopicLog(spark, path)), TP)
