@@ -6,8 +6,10 @@ between any two steps leaves nothing visible, and the repeated batch overwrites
 
     <path>/data/txn_id=<name>-<batch>/topic=/partition=    log entries
     <path>/ends/batch_id=<batch>                           end offset per partition, cumulative
-    <path>/offsets/batch_id=<batch>                        consumer offsets of the batch
+    <path>/offsets/batch_id=<batch>                        consumer offsets up to the batch, cumulative
     <path>/txns/batch_id=<batch>                           the marker
+
+Of the cumulative tables the last two versions stay, in case the last batch is repeated or aborted.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from logweave.plans.small import settle
 from logweave.schema import LOG, LOG_COLUMNS, TP
 from logweave.session import slice_width
 from logweave.sources import isolation
-from logweave.streaming.runs import BatchFunction, exists, overwrite, previous
+from logweave.streaming.runs import BatchFunction, batch_dir, exists, overwrite, previous, store_state
 
 
 class TransactionAborted(RuntimeError):
@@ -79,11 +81,15 @@ class TxnSink:
         if before is not None:
             grown = before.select(*TP, "end_offset").unionByName(grown)
         ends = grown.groupBy(*TP).agg(F.sum("end_offset").alias("end_offset"))
-        overwrite(ends, f"{self.path}/ends", batch_id)
+        store_state(ends, f"{self.path}/ends", batch_id)
 
     def send_offsets(self, offsets: DataFrame | None, batch_id: int) -> None:
-        if offsets is not None:
-            overwrite(offsets.select(*TP, "commit_offset"), f"{self.path}/offsets", batch_id)
+        if offsets is None:
+            return
+        now, path = offsets.select(*TP, "commit_offset"), f"{self.path}/offsets"
+        if batch_id and exists(self.spark, batch_dir(path, batch_id - 1)):
+            now = now.unionByName(previous(self.spark, path, batch_id).join(now, TP, "left_anti"))
+        store_state(now, path, batch_id)
 
     def _marker(self, batch_id: int, state: str) -> None:
         row = self.spark.range(0, 1, 1, 1).select(F.lit(self.txn_id(batch_id)).alias("txn_id"), F.lit(state).alias("state"))
