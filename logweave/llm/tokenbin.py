@@ -78,7 +78,7 @@ class Words(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         if (ids := self.older.get(word)) is None:
-            ids = array(self.encoder.code, self.encoder.encode(word.decode("utf-8", "replace"))).tobytes()
+            ids = self.encoder.word_ids(word)
         self[word] = ids
         return ids
 
@@ -119,6 +119,9 @@ class Encoder:
         found = PLAIN.fullmatch(text) if self.short else None
         return self.directly(found) if found else self.whole(text)
 
+    def word_ids(self, word: bytes) -> bytes:
+        return array(self.code, self.encode(word.decode("utf-8", "replace"))).tobytes()
+
     def ids(self, text: bytes) -> array:
         if not self.by_word:
             return array(self.code, self.whole(text.decode("utf-8", "replace")))
