@@ -202,7 +202,7 @@ SELECT page_id, w.host, path, best.rule AS rule, COALESCE(best.verdict, by_host)
 
 @query(hosts_sql())
 def op4_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = hosts.judge(table(spark, sf_dir, "pages"), hosts.rules_frame(spark, RULES))
+    judged = hosts.judge(table(spark, sf_dir, "pages"), hosts.rules_frame(spark, RULES), tolerance=hosts.TOLERANCE)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -71,3 +71,14 @@ def test_graph(spark):
 def test_nothing(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert hosts.judge(empty, hosts.rules_frame(spark, RULES)).count() == 0
+
+
+def test_long_chain_is_finished(spark):
+    """Distrust falls by the damping at each link, however many links there are."""
+    n = 14
+    pages = [(i, f"http://h{i}.com/", f'<a href="http://{"h%d.com" % (i - 1) if i > 1 else "bad.org"}/">') for i in range(1, n + 1)] + [(0, "http://bad.org/", "")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r for r in hosts.judge(frame, hosts.rules_frame(spark, RULES), tolerance=hosts.TOLERANCE).collect()}
+    for i in range(1, n + 1):
+        assert got[i].distrust == pytest.approx(0.85**i, abs=1e-5)
+        assert got[i].verdict == ("block" if i <= 4 else "allow")
