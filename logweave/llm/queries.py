@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import decontaminate, hosts, lines, mixing, quality, scoring, sharding, simhash, suffixes, tokenbin
+from logweave.llm import alignment, decontaminate, divergence, hosts, lines, mixing, packing, quality, scoring, sharding, simhash, suffixes, tokenbin
 from logweave.session import new_dir
 
 QUERIES = {}
@@ -218,3 +218,51 @@ def op3_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return scoring.score_documents(table(spark, sf_dir, "documents"), vocabulary, 49_407)
+
+
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+SHARE_SQL = "1 + (1000000000::HUGEINT * ({n} + 2)) // ({total} + 2 * kept)"
+DIVERGENCE_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS r, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+  regexp_extract_all({LOWER_SQL}, '{TERM}') AS w FROM documents),
+o AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING COUNT(DISTINCT r) >= {divergence.LEAST_DOCS}),
+v AS (SELECT lang, COUNT(*) AS kept FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, COUNT(*) AS n FROM o JOIN k USING (lang, term) GROUP BY lang, source, term),
+z AS (SELECT lang, source, term, COALESCE(n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+t AS (SELECT lang, source, SUM(n)::HUGEINT AS total FROM z GROUP BY lang, source),
+p AS MATERIALIZED (SELECT lang, source, term, n, {SHARE_SQL.format(n="n", total="total")} AS p FROM z JOIN t USING (lang, source) JOIN v USING (lang)),
+a AS (SELECT lang, term, SUM(n)::HUGEINT AS n FROM c GROUP BY lang, term),
+q AS (SELECT lang, term, {SHARE_SQL.format(n="n", total="total")} AS q FROM a JOIN (SELECT lang, SUM(n) AS total FROM a GROUP BY lang) USING (lang) JOIN v USING (lang)),
+x AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, COALESCE(SUM((p - q) * (p - q) // (p + q)), 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN p ON p.lang = x.lang AND p.source = x.source
+  LEFT JOIN (SELECT lang, source, term, p AS q FROM p) s ON s.lang = y.lang AND s.source = y.source AND s.term = p.term GROUP BY ALL
+UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM x)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}"""
+
+
+@query(DIVERGENCE_SQL)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+#: The end of a document in the packed sequences, and their length.
+PACK_END, PACK_LIMIT = 0, 2048
+
+
+@query()
+def op12_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    packed = packing.pack(table(spark, sf_dir, "documents"), vocabulary, PACK_END, PACK_LIMIT, by_word=True)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.alignment_report(table(spark, sf_dir, "documents"), *paths)
