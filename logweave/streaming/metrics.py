@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import StreamingQueryListener
 
 from logweave.operators.stats import payload_bytes
 from logweave.streaming.runs import BatchFunction, overwrite, read_batches
@@ -23,21 +23,6 @@ def observed(stream: DataFrame, client_id: str) -> DataFrame:
     )
 
 
-def metrics_table(spark: SparkSession, query: StreamingQuery, tags: dict[str, str] | None = None) -> DataFrame:
-    """What the retained progress reports of ``query`` say: one row per client and micro-batch.
-
-    Spark retains ``spark.sql.streaming.numRecentProgressUpdates`` reports, which bounds the rows.
-    """
-    rows = {}
-    for progress in query.recentProgress:
-        for name, row in progress.observedMetrics.items():
-            if name.startswith(PREFIX) and progress.numInputRows:
-                rows[(name[len(PREFIX) :], progress.batchId)] = (row["records"], row["bytes"])
-    schema = "client_id string, batch_id long, records long, bytes long"
-    table = spark.createDataFrame([(*k, *v) for k, v in rows.items()], schema)
-    return table.withColumns({k: F.lit(v) for k, v in (tags or {}).items()})
-
-
 def count_batches(path: str, client_id: str) -> BatchFunction:
     """Counters for the whole run: every micro-batch stores its records and payload bytes, however
     many progress reports the session retains."""

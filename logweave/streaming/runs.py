@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logweave.schema import TP
+from logweave.session import exists, remove
 
 BatchFunction = Callable[[DataFrame, int], None]
 
@@ -22,9 +23,14 @@ def batch_dir(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def batches_in(spark: SparkSession, path: str) -> list[int]:
+    """The batches that have a folder below ``path``, in order. Names only; no file is read."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    if not exists(spark, path):
+        return []
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hadoop)
+    names = [status.getPath().getName() for status in found]
+    return sorted(int(n.partition("=")[2]) for n in names if n.startswith("batch_id="))
 
 
 def overwrite(df: DataFrame, path: str, batch_id: int) -> None:
@@ -35,9 +41,7 @@ def store_state(df: DataFrame, path: str, batch_id: int) -> None:
     """:func:`overwrite` for state: this version and the one before stay, in case the batch is
     repeated; older ones go."""
     overwrite(df, path, batch_id)
-    spark = df.sparkSession
-    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(batch_dir(path, batch_id - 2))
-    old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+    remove(df.sparkSession, batch_dir(path, batch_id - 2))
 
 
 def previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:

@@ -2,14 +2,19 @@
 
 One micro-batch is one transaction. Its steps, in order: records (with a control entry per
 touched partition), end offsets, consumer offsets, marker. Readers go by the marker, so a crash
-between any two steps leaves nothing visible, and the repeated batch overwrites the leftovers.
+between any two steps leaves nothing visible, and the repeated batch overwrites the leftovers. A batch
+whose marker says committed is not run again.
 
     <path>/data/txn_id=<name>-<batch>/topic=/partition=    log entries
     <path>/ends/batch_id=<batch>                           end offset per partition, cumulative
     <path>/offsets/batch_id=<batch>                        consumer offsets up to the batch, cumulative
     <path>/txns/batch_id=<batch>                           the marker
 
-Of the cumulative tables the last two versions stay, in case the last batch is repeated or aborted.
+The cumulative tables are versions named after the batch that wrote them. A marker points to the
+version of each that is in force after its batch: its own, or that of the marker before where the batch
+was aborted (consumer offsets) or wrote none. So a chain of versions may skip any number of batches.
+Entries of an aborted batch keep their places in the log, hence its end offsets stay in force. Of each
+table the version in force and the one before it stay: a batch is repeated with the latter.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from logweave.plans.small import settle
 from logweave.schema import LOG, LOG_COLUMNS, TP
 from logweave.session import slice_width
 from logweave.sources import isolation
-from logweave.streaming.runs import BatchFunction, batch_dir, exists, overwrite, previous, store_state
+from logweave.streaming.runs import BatchFunction, batch_dir, batches_in, exists, overwrite, remove
 
 
 class TransactionAborted(RuntimeError):
@@ -55,6 +60,10 @@ class TxnSink:
     ) -> None:
         """Send ``requests`` and store ``offsets(topic, partition, commit_offset)`` as one
         transaction. The first failed request aborts it and raises."""
+        if self.state(batch_id) == "committed":
+            return
+        for table in ("ends", "offsets"):  # of an attempt that did not end
+            remove(self.spark, batch_dir(f"{self.path}/{table}", batch_id))
         if not requests.where(F.col("error").isNotNull()).isEmpty():
             self.abort(batch_id)
             failed = requests.where(F.col("error").isNotNull()).agg(F.min_by("error", F.struct(*order))).first()[0]
@@ -63,6 +72,27 @@ class TxnSink:
         self.send_offsets(offsets, batch_id)
         self.commit(batch_id)
 
+    # -- versions -----------------------------------------------------------------------------
+
+    def _marker_of(self, batch_id: int) -> dict | None:
+        path = batch_dir(f"{self.path}/txns", batch_id)
+        return self.spark.read.parquet(path).first().asDict() if exists(self.spark, path) else None
+
+    def _marker_before(self, batch_id: int) -> dict:
+        """The marker of the latest batch before ``batch_id``; without one nothing is in force."""
+        found = self._marker_of(batch_id - 1) if batch_id else None
+        if found is None:
+            earlier = [b for b in batches_in(self.spark, f"{self.path}/txns") if b < batch_id]
+            found = self._marker_of(max(earlier)) if earlier else {}
+        return found
+
+    def _version(self, table: str, batch_id: int | None) -> DataFrame | None:
+        return None if batch_id is None else self.spark.read.parquet(batch_dir(f"{self.path}/{table}", batch_id))
+
+    def state(self, batch_id: int) -> str | None:
+        """``committed``, ``aborted``, or None while the batch is open or unknown."""
+        return (self._marker_of(batch_id) or {}).get("state")
+
     def write_data(self, requests: DataFrame, batch_id: int, order: Sequence[str]) -> None:
         # the control entry sorts behind everything with the greatest leading order value
         touched = settle(
@@ -73,7 +103,8 @@ class TxnSink:
         control = touched.drop("records").withColumns({"is_control": F.lit(True), "error": F.lit(None).cast("string")})
         both = requests.withColumn("is_control", F.lit(False)).unionByName(control, allowMissingColumns=True)
         slices = [div(F.col(order[0]).cast("long"), slice_width(self.spark))]
-        before = previous(self.spark, f"{self.path}/ends", batch_id) if batch_id else self._first_ends
+        before = self._version("ends", self._marker_before(batch_id).get("ends"))
+        before = self._first_ends if before is None else before
         entries = to_entries(assign_offsets(both, before, (*order, "is_control"), slices))
         data = f"{self.path}/data/txn_id={self.txn_id(batch_id)}"
         entries.drop("txn_id").sortWithinPartitions(*TP, "offset").write.mode("overwrite").partitionBy(*TP).parquet(data)
@@ -81,19 +112,33 @@ class TxnSink:
         if before is not None:
             grown = before.select(*TP, "end_offset").unionByName(grown)
         ends = grown.groupBy(*TP).agg(F.sum("end_offset").alias("end_offset"))
-        store_state(ends, f"{self.path}/ends", batch_id)
+        overwrite(ends, f"{self.path}/ends", batch_id)
 
     def send_offsets(self, offsets: DataFrame | None, batch_id: int) -> None:
         if offsets is None:
             return
-        now, path = offsets.select(*TP, "commit_offset"), f"{self.path}/offsets"
-        if batch_id and exists(self.spark, batch_dir(path, batch_id - 1)):
-            now = now.unionByName(previous(self.spark, path, batch_id).join(now, TP, "left_anti"))
-        store_state(now, path, batch_id)
+        now = offsets.select(*TP, "commit_offset")
+        earlier = self._version("offsets", self._marker_before(batch_id).get("offsets"))
+        if earlier is not None:
+            now = now.unionByName(earlier.select(*TP, "commit_offset").join(now, TP, "left_anti"))
+        overwrite(now, f"{self.path}/offsets", batch_id)
 
     def _marker(self, batch_id: int, state: str) -> None:
-        row = self.spark.range(0, 1, 1, 1).select(F.lit(self.txn_id(batch_id)).alias("txn_id"), F.lit(state).alias("state"))
+        before, now = self._marker_before(batch_id), {}
+        for table in ("ends", "offsets"):
+            counts = state == "committed" or table == "ends"
+            written = exists(self.spark, batch_dir(f"{self.path}/{table}", batch_id))
+            now[table] = batch_id if counts and written else before.get(table)
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.lit(self.txn_id(batch_id)).alias("txn_id"),
+            F.lit(state).alias("state"),
+            *[F.lit(version).cast("long").alias(table) for table, version in now.items()],
+        )
         overwrite(row, f"{self.path}/txns", batch_id)
+        for table, version in now.items():
+            for old in batches_in(self.spark, f"{self.path}/{table}"):
+                if old <= batch_id and old not in (version, before.get(table)):
+                    remove(self.spark, batch_dir(f"{self.path}/{table}", old))
         if self.on_complete is not None:
             self.on_complete(batch_id, state == "committed")
 
@@ -101,6 +146,10 @@ class TxnSink:
         self._marker(batch_id, "committed")
 
     def abort(self, batch_id: int) -> None:
+        """Entries written without end offsets are leftovers of a crash and go, so that no two
+        entries get one place."""
+        if not exists(self.spark, batch_dir(f"{self.path}/ends", batch_id)):
+            remove(self.spark, f"{self.path}/data/txn_id={self.txn_id(batch_id)}")
         self._marker(batch_id, "aborted")
 
     # -- reading ------------------------------------------------------------------------------
@@ -119,13 +168,11 @@ class TxnSink:
 
     def committed(self) -> DataFrame:
         """Consumer offsets of committed transactions, the newest per partition."""
-        done = self.spark.read.parquet(f"{self.path}/txns").where(F.col("state") == "committed")
-        stored = self.spark.read.parquet(f"{self.path}/offsets")
-        return (
-            stored.join(done.select("batch_id"), "batch_id", "left_semi")
-            .groupBy(*TP)
-            .agg(F.max_by("commit_offset", "batch_id").alias("commit_offset"))
-        )
+        batches = batches_in(self.spark, f"{self.path}/txns")
+        stored = self._version("offsets", self._marker_of(max(batches))["offsets"]) if batches else None
+        if stored is None:
+            return self.spark.createDataFrame([], "topic string, partition int, commit_offset long")
+        return stored.select(*TP, "commit_offset")
 
 
 def exactly_once(

@@ -78,6 +78,75 @@ def test_crash_between_steps_leaves_nothing_visible(spark, tmp_path, step):
     assert {(r.o, r.n) for r in per_partition} == {(17, 18)}  # 15 records, 3 control entries, no hole
 
 
+def _offsets(spark, *rows):
+    return spark.createDataFrame([("t", p, o) for p, o in rows], "topic string, partition int, commit_offset long")
+
+
+def _requests(spark, partition, *seqs):
+    rows = [(i, "dest", partition, T0, None) for i in seqs]
+    return spark.createDataFrame(rows, "seq long, topic string, partition int, timestamp timestamp, error string").withColumns(
+        {"key": F.lit(b"k"), "value": F.lit(b"v"), "headers": F.lit(None).cast(LOG["headers"].dataType)}
+    )
+
+
+def _committed(sink):
+    return sorted((r.partition, r.commit_offset) for r in sink.committed().collect())
+
+
+@pytest.mark.parametrize("middle", ["abort", "no offsets", "aborted offsets", "abort without data", "several"])
+def test_offsets_survive_what_comes_between(spark, tmp_path, middle):
+    sink = TxnSink(spark, f"{tmp_path}/sink")
+    assert _committed(sink) == []
+    sink.run(_requests(spark, 0, 1, 2), 0, _offsets(spark, (0, 5)))
+    last = 2
+    if middle == "no offsets":
+        sink.run(_requests(spark, 0, 3), 1)
+    elif middle == "abort without data":
+        sink.abort(1)
+    else:
+        sink.write_data(_requests(spark, 0, 3), 1, ("seq",))
+        if middle != "abort":
+            sink.send_offsets(_offsets(spark, (0, 99)), 1)
+        sink.abort(1)
+    if middle == "several":
+        last = 6
+        sink.abort(2)
+        sink.run(_requests(spark, 1, 4), 3)
+        sink.run(_requests(spark, 0, 5), 4, _offsets(spark, (1, 3)))
+        sink.abort(5)
+    assert _committed(sink) == ([(0, 5), (1, 3)] if middle == "several" else [(0, 5)])
+    sink.run(_requests(spark, 2, 6), last, _offsets(spark, (2, 7)))
+    assert _committed(sink) == ([(0, 5), (1, 3), (2, 7)] if middle == "several" else [(0, 5), (2, 7)])
+    # places in the log are given once, also those of aborted entries
+    places = [(r.partition, r.offset) for r in sink.entries().collect()]
+    assert len(places) == len(set(places))
+    for table in ("ends", "offsets"):
+        assert len(runs.batches_in(spark, f"{tmp_path}/sink/{table}")) <= 2
+
+
+def test_versions_stay_bounded_and_a_repeat_changes_nothing(spark, tmp_path):
+    sink = TxnSink(spark, f"{tmp_path}/sink")
+    for batch in range(6):
+        sink.run(_requests(spark, 0, batch), batch, _offsets(spark, (0, batch + 1)))
+        before = sorted((r.partition, r.offset) for r in sink.read().collect())
+        sink.run(_requests(spark, 0, batch), batch, _offsets(spark, (0, 1000)))
+        assert sorted((r.partition, r.offset) for r in sink.read().collect()) == before and _committed(sink) == [(0, batch + 1)]
+    for table in ("ends", "offsets"):
+        assert runs.batches_in(spark, f"{tmp_path}/sink/{table}") == [4, 5]
+
+
+def test_aborted_batch_may_succeed_when_repeated(spark, tmp_path):
+    sink = TxnSink(spark, f"{tmp_path}/sink")
+    sink.run(_requests(spark, 0, 0), 0, _offsets(spark, (0, 1)))
+    bad = _requests(spark, 0, 1).withColumn("error", F.lit("TimeoutException"))
+    with pytest.raises(Exception, match="TimeoutException"):
+        sink.run(bad, 1, _offsets(spark, (0, 2)))
+    assert _committed(sink) == [(0, 1)] and sink.state(1) == "aborted"
+    sink.run(_requests(spark, 0, 1), 1, _offsets(spark, (0, 2)))
+    assert _committed(sink) == [(0, 2)] and sink.state(1) == "committed"
+    assert sorted(r.offset for r in sink.entries().collect()) == [0, 1, 2, 3]
+
+
 def test_failing_store_stops_the_stream_and_is_retried_after_restart(spark, tmp_path):
     log = write_batches(spark, f"{tmp_path}/log", 20, 10)
     calls = []
@@ -184,15 +253,17 @@ def test_counters_and_lifecycle(spark, tmp_path):
     listener = metrics.Lifecycle(lambda kind, name, detail: told.append(kind))
     spark.streams.addListener(listener)
     try:
-        counted = metrics.observed(log.read_stream(topics=["src"], max_files=1), "consumer-1")
-        query = runs.to_files(counted, f"{tmp_path}/out", f"{tmp_path}/cp")
+        observed = metrics.observed(log.read_stream(topics=["src"], max_files=1), "consumer-1")
+        query = runs.start(observed, metrics.count_batches(f"{tmp_path}/out", "consumer-1"), f"{tmp_path}/cp")
         query.awaitTermination()
-        table = metrics.metrics_table(spark, query, {"env": "test"}).collect()
+        reported = [p.observedMetrics["client:consumer-1"]["records"] for p in query.recentProgress if p.numInputRows]
+        table = metrics.counted(spark, f"{tmp_path}/out", {"env": "test"}).collect()
     finally:
         import time
 
         time.sleep(1)
         spark.streams.removeListener(listener)
+    assert reported == [10, 10]
     assert sorted((r.client_id, r.batch_id, r.records, r.env) for r in table) == [("consumer-1", 0, 10, "test"), ("consumer-1", 1, 10, "test")]
     assert told[0] == "started" and "progress" in told and told[-1] == "terminated"
 

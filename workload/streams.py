@@ -293,6 +293,59 @@ def exactly_once_stream(spark, sf):
     return fx.plain(seen.join(committed, "partition"))
 
 
+_IN_PORTIONS = f"""WITH {L}, b AS (SELECT MIN(epoch_us(ts)) AS lo, MAX(epoch_us(ts)) - MIN(epoch_us(ts)) + 1 AS span FROM l),
+p AS (SELECT l.*, (SELECT COUNT(*) FROM range(1, {PORTIONS}) r(i), b WHERE epoch_us(ts) >= lo + span * i // {PORTIONS}) AS portion FROM l)"""
+
+
+def _mixed_transactions(spark, sf, send):
+    """Each portion goes to ``send(sink, batch, batch_id)``; visible records and committed source
+    offsets by source partition."""
+    out, checkpoint = folder(spark)
+    sink = TxnSink(spark, out, "copy")
+    replay_log(spark, sf, lambda log: runs.start(log.read_stream(topics=["events"]), lambda batch, i: send(sink, batch, i), checkpoint))
+    seen = sink.read().groupBy((3 - F.col("partition")).alias("partition")).agg(F.count(F.lit(1)).alias("visible"))
+    committed = sink.committed().select("partition", F.col("commit_offset").alias("source_commit"))
+    return fx.plain(seen.join(committed, "partition", "left"))
+
+
+def _next_offsets(batch):
+    return batch.groupBy(*TP).agg((F.max("offset") + 1).alias("commit_offset"))
+
+
+@query(
+    f"""{_IN_PORTIONS} SELECT part_id, COUNT(*) AS visible, MAX(log_offset) + 1 AS source_commit FROM p
+ WHERE (portion = 0 AND part_id < 3) OR (portion = 2 AND part_id >= 2) GROUP BY part_id"""
+)
+def txn_after_abort(spark, sf):
+    """The second transaction is aborted after its records and offsets were written; the first and
+    the third touch different partitions. Offsets of the first stay, those of the second never count."""
+
+    def send(sink, batch, batch_id):
+        part = batch.where("partition < 3" if batch_id == 0 else "partition >= 2")
+        if batch_id == 1:
+            sink.write_data(_copy(batch), batch_id, ("seq",))
+            sink.send_offsets(_next_offsets(batch), batch_id)
+            sink.abort(batch_id)
+        else:
+            sink.run(_copy(part), batch_id, _next_offsets(part))
+
+    return _mixed_transactions(spark, sf, send)
+
+
+@query(
+    f"""{_IN_PORTIONS} SELECT part_id, COUNT(*) AS visible, MAX(CASE WHEN portion = 0 OR (portion = 2 AND part_id >= 2) THEN log_offset END) + 1 AS source_commit
+ FROM p GROUP BY part_id"""
+)
+def txn_batch_without_offsets(spark, sf):
+    """The second transaction carries no consumer offsets, the third only those of two partitions."""
+
+    def send(sink, batch, batch_id):
+        offsets = None if batch_id == 1 else _next_offsets(batch.where("partition >= 2") if batch_id else batch)
+        sink.run(_copy(batch), batch_id, offsets)
+
+    return _mixed_transactions(spark, sf, send)
+
+
 @query(
     f"""WITH {PEOPLE} SELECT id, 'by-first' AS topic, lower(first_name) || '@first.example' AS email FROM p
 UNION ALL SELECT id, 'by-last' AS topic, lower(last_name) || '@last.example' AS email FROM p"""
