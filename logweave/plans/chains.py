@@ -10,15 +10,16 @@ blocks of bounded length:
 
     1. every block turns each *possible* entry (a value within ``far`` of its first one, or the
        next one after those) into the last hit it leads to and the number of hits;
-    2. one pass per group walks those block maps, reading them as a stream, and fixes the real
-       entry of each block - it sees candidates, never records;
-    3. every block replays its own chain from its real entry.
+    2. such maps compose: up to ``FAN`` neighbours make the map of one node, these make the map of a
+       node above, until a group has at most ``FAN`` nodes. The possible entries of a node lie within
+       ``far`` of its first value as well, so no map is larger than one span of ``far``;
+    3. downwards again, the real entry of a node and its map's children give the real entry of each
+       child, one task per node and a scalar as state;
+    4. every block replays its own chain from its real entry.
 
 Blocks hold distinct integers of a fixed-length range, so their size is bounded by the block
-length no matter how many records share one value. While ``far`` is short against a block the
-candidates are a small fraction of the values. When it is longer than a block they are all of
-them: then step 2 streams the distinct integers of a group (for times, at most one per
-millisecond) through one task, a batch at a time.
+length no matter how many records share one value. No task sees a whole group: its length is
+divided by ``FAN`` at each of the steps 2 and 3. Maps are staged, as both directions read them.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -34,9 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweave.plans.ordered import div
+from logweave.plans.staged import staged
 from logweave.session import ship_package, slice_width
 
 MAX_BLOCK = 1 << 22
+#: Maps that one task composes, and nodes of a group at the top.
+FAN = 16
 
 
 def block_length(spark, far: int) -> int:
@@ -73,16 +76,35 @@ def block_map(values: np.ndarray, near: int, far: int):
     return values[:entries], values[last[:entries]], count[:entries]
 
 
+def compose(maps: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], near: int, far: int):
+    """The map of neighbouring blocks from theirs, in order; holds the composed map and one more."""
+    entries, last, count = (x.copy() for x in next(maps))
+    limit = entries[0] + far
+    for entry, into_last, into_count in maps:
+        at = np.searchsorted(entry, last + far, side="left")
+        if near > 0:
+            at = np.where(entry[0] - last <= near, 0, at)
+        goes_on = at < len(entry)
+        at = at[goes_on]
+        last[goes_on], count[goes_on] = into_last[at], count[goes_on] + into_count[at]
+        if entries[-1] < limit:
+            more = min(int(np.searchsorted(entry, limit, side="left")) + 1, len(entry))
+            entries, last, count = (np.concatenate([x, y[:more]]) for x, y in ((entries, entry), (last, into_last), (count, into_count)))
+    return entries, last, count
+
+
 def replay(values: np.ndarray, entry: int | None, near: int, far: int) -> np.ndarray:
-    """Boolean mask of the hits of one block, given its real entry (``None`` = no hit)."""
+    """Boolean mask of the hits of one block, given its real entry (``None`` = no hit). The hits so far
+    and the jumps of twice as many hits give as many hits again."""
     hit = np.zeros(len(values), dtype=bool)
     if entry is None:
         return hit
-    nxt = next_hits(values, near, far).tolist()
-    i = int(np.searchsorted(values, entry, side="left"))
-    while i < len(nxt):
-        hit[i] = True
-        i = nxt[i]
+    start = int(np.searchsorted(values, entry, side="left"))
+    jump = np.append(next_hits(values[start:], near, far), len(values) - start)
+    path = new = np.zeros(1, np.int64)
+    while len(new := jump[path]) and len(new := new[new < len(jump) - 1]):
+        path, jump = np.concatenate([path, new]), jump[jump]
+    hit[start + path] = True
     return hit
 
 
@@ -150,6 +172,90 @@ def _apply_runs(batches: list[pa.RecordBatch], names: list[str], keys: list[str]
     return pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
 
+def widest(maps: DataFrame, by: Sequence[str]) -> int:
+    """The largest number of blocks that a group of ``maps`` extends over."""
+    spans = maps.groupBy(*by).agg((F.max("__block") - F.min("__block") + 1).alias("n"))
+    return spans.agg(F.max("n")).first()[0] or 0
+
+
+def _composed(maps: DataFrame, keys: list[T.StructField], near: int, far: int) -> DataFrame:
+    """The maps of the nodes above: of up to FAN blocks each."""
+    by = [f.name for f in keys]
+    names = [*by, "__node"]
+
+    def node(columns: dict) -> dict:
+        bounds = np.flatnonzero(np.append(True, columns["__block"][1:] != columns["__block"][:-1]))
+        parts = (tuple(columns[c][i:j] for c in ("__entry", "__last", "__count")) for i, j in zip(bounds, [*bounds[1:], None]))
+        entries, last, count = compose(parts, near, far)
+        return {"__entry": entries, "__last": last, "__count": count}
+
+    schema = T.StructType([*keys, *[T.StructField(c, T.LongType()) for c in ("__node", "__entry", "__last", "__count")]])
+    return (
+        maps.withColumn("__node", div(F.col("__block"), FAN))
+        .repartition(*names)
+        .sortWithinPartitions(*names, "__block", "__entry")
+        .mapInArrow(lambda batches: _by_block(batches, names, names, node), schema)
+        .withColumnRenamed("__node", "__block")
+    )
+
+
+def _entered(maps: DataFrame, keys: list[T.StructField], near: int, far: int, first_hits: bool) -> DataFrame:
+    """(by, __block, __entry, __after, __seen): the first hit in each block, the latest hit or anchor
+    before it and the hits so far, from ``__after`` and ``__seen`` at the begin of each ``__node``."""
+    by = [f.name for f in keys]
+    parent, names = [*by, "__node"], [*by, "__node", "__block"]
+    fields = [*keys, *[T.StructField(c, T.LongType()) for c in ("__block", "__entry", "__after", "__seen")]]
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = block = after = None
+        seen, open_block = 0, False
+        found: list[tuple] = []
+
+        def rows() -> pa.RecordBatch:
+            columns = list(zip(*found)) if found else [()] * len(fields)
+            done = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
+            found.clear()
+            return pa.RecordBatch.from_arrays(done, names=[f.name for f in fields])
+
+        kinds = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds = kinds or [*(batch.column(n).type for n in by), *[pa.int64()] * 4]
+            starts = _run_starts([batch.column(n) for n in names])
+            heads = list(zip(*[batch.column(n).take(pa.array(starts)).to_pylist() for n in names]))
+            given = zip(*[batch.column(n).take(pa.array(starts)).to_pylist() for n in ("__after", "__seen")])
+            entries, lasts, counts = (batch.column(n).to_numpy() for n in ("__entry", "__last", "__count"))
+            for head, initial, start, end in zip(heads, given, starts, [*starts[1:], batch.num_rows]):
+                entry = entries[start:end]
+                fresh = (group, block) != (head[:-1], head[-1])
+                if fresh:
+                    if open_block:
+                        found.append((*group[:-1], block, None, after, seen))
+                    if head[:-1] != group:
+                        after, seen = initial
+                        if after is None and not first_hits:
+                            after = int(entry[0])
+                    group, block, open_block = head[:-1], head[-1], True
+                if not open_block:
+                    continue
+                if after is None or (fresh and near > 0 and entry[0] - after <= near):
+                    i = 0
+                else:
+                    i = int(np.searchsorted(entry, after + far, side="left"))
+                if i < len(entry):
+                    found.append((*group[:-1], block, int(entry[i]), after, seen))
+                    after = int(lasts[start + i])
+                    seen += int(counts[start + i])
+                    open_block = False
+            yield rows()
+        if open_block:
+            found.append((*group[:-1], block, None, after, seen))
+            yield rows()
+
+    return maps.repartition(*parent).sortWithinPartitions(*names, "__entry").mapInArrow(walk, T.StructType(fields))
+
+
 def hits(
     nodes: DataFrame,
     by: Sequence[str],
@@ -181,76 +287,38 @@ def hits(
         entries, last, count = block_map(block["__v"], near, far)
         return {"__entry": entries, "__last": last, "__count": count}
 
-    maps = (
+    map_columns = ["__block", "__entry", "__last", "__count"]
+    maps = staged(
         blocked.repartition(*names)
         .sortWithinPartitions(*names, "__v")
-        .mapInArrow(
-            lambda batches: _by_block(batches, names, names, to_map),
-            T.StructType([*keys, *longs("__block", "__entry", "__last", "__count")]),
-        )
+        .mapInArrow(lambda batches: _by_block(batches, names, names, to_map), T.StructType([*keys, *longs(*map_columns)])),
+        "chain-maps",
     )
+    levels = [maps]
+    while widest(levels[-1], by) > FAN:
+        levels.append(staged(_composed(levels[-1], keys, near, far), "chain-maps"))
+
     if carry is None:
-        maps = maps.withColumn("__after", F.lit(None).cast("long"))
+        begin = F.lit(None).cast("long")
+        top = levels[-1].withColumns({"__after": begin, "__seen": F.lit(0).cast("long")})
     else:
-        maps = maps.join(carry.select(*by, F.col("after").cast("long").alias("__after")), by, "left")
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group = block = after = None
-        seen, open_block = 0, False
-        for pdf in batches:
-            found: list[tuple] = []
-            if not len(pdf):
-                continue
-            starts = _run_starts([pa.array(pdf[n]) for n in names])
-            heads = list(zip(*[pdf[n].iloc[starts].tolist() for n in names]))
-            given = pdf["__after"].iloc[starts].tolist()
-            entries, lasts, counts = (pdf[n].to_numpy() for n in ("__entry", "__last", "__count"))
-            for head, initial, start, end in zip(heads, given, starts, [*starts[1:], len(pdf)]):
-                entry = entries[start:end]
-                fresh = (group, block) != (head[:-1], head[-1])
-                if fresh:
-                    if open_block:
-                        found.append((*group, block, None, after, seen))
-                    if head[:-1] != group:
-                        after, seen = (None if pd.isna(initial) else int(initial)), 0
-                        if after is None and not first_hits:
-                            after = int(entry[0])
-                    group, block, open_block = head[:-1], head[-1], True
-                if not open_block:
-                    continue
-                if after is None or (fresh and near > 0 and entry[0] - after <= near):
-                    i = 0
-                else:
-                    i = int(np.searchsorted(entry, after + far, side="left"))
-                if i < len(entry):
-                    found.append((*group, block, int(entry[i]), after, seen))
-                    after = int(lasts[start + i])
-                    seen += int(counts[start + i])
-                    open_block = False
-            yield frame(found)
-        if open_block:
-            yield frame([(*group, block, None, after, seen)])
-
-    def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=[*names, "__entry", "__after", "__seen"])
-        return out.astype({"__entry": "Int64", "__after": "Int64"})
-
-    entries = (
-        maps.repartition(*by)
-        .sortWithinPartitions(*names, "__entry")
-        .mapInPandas(walk, T.StructType([*keys, *longs("__block", "__entry", "__after", "__seen")]))
-    )
+        known = carry.select(*by, F.col("after").cast("long").alias("__after"))
+        top = levels[-1].join(known, by, "left").withColumn("__seen", F.lit(0).cast("long"))
+    state = _entered(top.withColumn("__node", F.lit(0).cast("long")), keys, near, far, first_hits)
+    for level in reversed(levels[:-1]):
+        above = staged(state, "chain-entries").select(*by, F.col("__block").alias("__node"), "__after", "__seen")
+        below = level.withColumn("__node", div(F.col("__block"), FAN)).join(above, [*by, "__node"])
+        state = _entered(below, keys, near, far, first_hits)
 
     def play(block: dict) -> dict:
         values, entry, after = block["__v"], block["__entry"][0], block["__after"][0]
-        hit = replay(values, None if pd.isna(entry) else int(entry), near, far)
+        hit = replay(values, None if np.isnan(entry) else int(entry), near, far)
         done = np.cumsum(hit) - hit
         # index of the latest hit before each value, -1 for none inside this block
         at = np.maximum.accumulate(np.concatenate([[-1], np.where(hit, np.arange(len(hit)), -1)[:-1]]))
-        last = np.where(at >= 0, values[at], np.nan if pd.isna(after) else after)
+        last = np.where(at >= 0, values[at], np.nan if np.isnan(after) else after)
         return {value: values, "is_hit": hit, "hits_before": done + block["__seen"], "last_hit": last}
 
-    state = entries.select(*names, "__entry", "__after", "__seen")
     extra = [f for f in kept.schema.fields if f.name in keep]
     schema = T.StructType([*keys, *extra, *longs(value), T.StructField("is_hit", T.BooleanType()), *longs("hits_before", "last_hit")])
     return (

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,10 +66,11 @@ def walk(values, near, far, first_hits):
     return out
 
 
-@pytest.mark.parametrize("block", [16, 200])
+@pytest.mark.parametrize("block,fan", [(16, 16), (200, 16), (16, 2), (5, 3), (1, 4)])
 @pytest.mark.parametrize("near,far,first_hits", [(0, 7, False), (0, 40, False), (4, 6, True), (3, 6, True), (0, 1, True), (2, 30, True)])
-def test_chains(narrow, monkeypatch, block, near, far, first_hits):
+def test_chains(narrow, monkeypatch, block, fan, near, far, first_hits):
     monkeypatch.setattr(chains, "MAX_BLOCK", block)
+    monkeypatch.setattr(chains, "FAN", fan)
     narrow.conf.set("spark.logweave.sliceWidth", str(block))
     rng = random.Random(far)
     rows, expected = [], {}
@@ -81,6 +83,37 @@ def test_chains(narrow, monkeypatch, block, near, far, first_hits):
     assert {(r.g, r.v): (r.is_hit, r.hits_before, r.last_hit) for r in got} == expected
 
 
+def test_no_node_holds_more_than_one_span(spark, monkeypatch):
+    """Maps at every level stay within ``far`` of their first value, and a task gets FAN of them."""
+    monkeypatch.setattr(chains, "MAX_BLOCK", 8)
+    monkeypatch.setattr(chains, "FAN", 4)
+    monkeypatch.setattr(chains, "slice_width", lambda spark: 8)
+    kept, sizes = chains._composed, []
+    monkeypatch.setattr(chains, "_composed", lambda maps, *args: sizes.append(kept(maps, *args)) or sizes[-1])
+    values = sorted(random.Random(8).sample(range(4000), 1500))
+    nodes = spark.createDataFrame([("hot", v) for v in values], "g string, v long")
+    far = 50
+    got = chains.hits(nodes, ["g"], "v", 0, far, False)
+    assert {r.v: (r.is_hit, r.hits_before, r.last_hit) for r in got.collect()} == walk(values, 0, far, False)
+    assert len(sizes) == 4  # 500 blocks, then 125, 32, 8 and 2 nodes
+    for level in sizes:
+        for r in level.groupBy("__block").agg(F.min("__entry").alias("first"), F.max("__entry").alias("last"), F.count("*").alias("n")).collect():
+            within = [v for v in values if r.first <= v < r.first + far]
+            assert r.n <= len(within) + 1
+    assert chains.widest(sizes[-1], ["g"]) <= 4
+
+
+def test_chain_of_compose_equals_block_map():
+    rng = np.random.default_rng(3)
+    for near, far in ((0, 9), (2, 12), (5, 6), (0, 60)):
+        values = np.array(sorted(rng.choice(400, 150, replace=False)))
+        parts = [p for p in np.split(values, np.searchsorted(values, [50, 90, 91, 200, 310])) if len(p)]
+        whole = chains.block_map(values, near, far)
+        got = chains.compose((chains.block_map(p, near, far) for p in parts), near, far)
+        for a, b in zip(got, whole):
+            assert a.tolist() == b.tolist()
+
+
 def test_chain_continues_from_carry(narrow):
     values = sorted(random.Random(1).sample(range(5000), 400))
     whole = walk(values, 0, 90, False)
