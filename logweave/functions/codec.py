@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 Layout = list[tuple[str, str]]
 
@@ -97,9 +97,14 @@ def decode_layout(df: DataFrame, value: str, layout: Layout, ok: str = "decoded_
 
 def decode_json(df: DataFrame, value: str, schema: str | StructType, ok: str = "decoded_ok") -> DataFrame:
     """``df`` plus the fields of a JSON value by a user's schema, and whether it could be read; works
-    on streams too. Any other format is an expression or a ``pandas_udf`` on the value column."""
-    parsed = df.withColumn("__json", F.from_json(bytes_to_text(F.col(value)), schema, {"mode": "PERMISSIVE"}))
+    on streams too. A value is readable if it is an object whose fields have the types of the schema;
+    absent and null fields are null. The fields of an unreadable value are null. Any other format is an expression or a ``pandas_udf`` on the value column."""
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    found = {f.name: F.col("__json")[f.name] for f in fields}
-    readable = F.col("__json").isNotNull() & F.coalesce(*[c.isNotNull() for c in found.values()])
+    # what the parser cannot read goes to a field of its own, so a value whose fields are all null is not lost
+    broken = "__broken" + "_" * max((len(f.name) for f in fields), default=0)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+    whole = StructType([*fields.fields, StructField(broken, StringType())])
+    parsed = df.withColumn("__json", F.from_json(bytes_to_text(F.col(value)), whole, options))
+    found = {f.name: F.when(F.col("__json")[broken].isNull(), F.col("__json")[f.name]) for f in fields}
+    readable = F.col("__json").isNotNull() & F.col("__json")[broken].isNull()
     return parsed.withColumns(found | {ok: readable}).drop("__json")

@@ -141,6 +141,18 @@ def decode_by_schema(spark, sf):
     return fx.plain(log.where("decoded_ok").select("partition", "offset", "k"))
 
 
+@query(
+    f"""WITH {L} SELECT part_id, log_offset, CASE log_offset % 4 WHEN 2 THEN FALSE ELSE TRUE END AS decoded_ok,
+ CASE WHEN log_offset % 4 = 3 THEN CAST(regexp_extract(props, '[0-9]+') AS BIGINT) END AS k FROM l"""
+)
+def decode_null_fields(spark, sf):
+    """Of four values one has a null field, one has no field and one is cut off; only that one cannot be read."""
+    turn = F.pmod("offset", F.lit(4))
+    text = F.when(turn == 0, '{"k":null}').when(turn == 1, "{}").when(turn == 2, '{"k":').otherwise(bytes_to_text(F.col("value")))
+    log = fx.event_log(spark, sf).select("partition", "offset", F.encode(text, "UTF-8").alias("value"))
+    return fx.plain(decode_json(log, "value", "k long").drop("value"))
+
+
 @query(
     f"""WITH {L}, {A}, w AS (SELECT member_id, time_bucket(INTERVAL 6 HOURS, ts) AS tick, part_id, MAX_BY(log_offset, ack_seq) + 1 AS commit_offset, COUNT(*) AS acks FROM a GROUP BY ALL)
 SELECT * FROM w WHERE tick + INTERVAL 6 HOURS <= date_trunc('millisecond', (SELECT MAX(ts) FROM a))"""
