@@ -70,10 +70,13 @@ def latest_commits(commits: DataFrame, group: str) -> DataFrame:
     )
 
 
-def consumer_lag(log: DataFrame, commits: DataFrame, group: str, reset: str = "earliest") -> DataFrame:
-    """Bounds, committed offset (null if none), position and lag = end - position per partition."""
+def consumer_lag(
+    log: DataFrame | None, commits: DataFrame, group: str, reset: str = "earliest", bounds: DataFrame | None = None
+) -> DataFrame:
+    """Bounds, committed offset (null if none), position and lag = end - position per partition.
+    ``bounds``: of the same selection, from the manifest; then the log is not needed."""
     fallback = {"earliest": "begin_offset", "latest": "end_offset"}[reset]
-    bounds = topic_bounds(log)
+    bounds = topic_bounds(log) if bounds is None else bounds
     position = F.coalesce("commit_offset", fallback)
     return (
         bounds.join(latest_commits(commits, group), TP, "left")

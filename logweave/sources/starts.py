@@ -1,7 +1,8 @@
 """Where reading starts: reset policy, committed offsets, explicit seeks, timestamps, resolvers.
 
 Every function here produces a start map ``(topic, partition, start_offset)``;
-:func:`read_from` applies one to a log.
+:func:`read_from` applies one to a log. Functions that need begin and end of the partitions take
+``bounds``, what ``TopicLog.bounds`` says of the same selection; then the log is not read for them.
 """
 
 from __future__ import annotations
@@ -66,47 +67,52 @@ def _listed(starts: list[dict]) -> Column:
     return reduce(lambda a, b: a | b, parts, F.lit(False))
 
 
-def reset_starts(log: DataFrame, reset: str = "earliest") -> DataFrame:
+def reset_starts(log: DataFrame, reset: str = "earliest", bounds: DataFrame | None = None) -> DataFrame:
     """Begin (``earliest``) or end (``latest``) of every partition. The begin is written as 0, which
     lies at or before every entry, so that only the directories are read for it."""
     if reset == "earliest":
-        return list_partitions(log).withColumn("start_offset", F.lit(0).cast("long"))
+        return (list_partitions(log) if bounds is None else bounds.select(*TP)).withColumn("start_offset", F.lit(0).cast("long"))
     if reset != "latest":
         raise ValueError(f"unknown reset policy {reset!r}")
-    return topic_bounds(log).select(*TP, F.col("end_offset").alias("start_offset"))
+    return _bounds(log, bounds).select(*TP, F.col("end_offset").alias("start_offset"))
 
 
-def seek_to_beginning(log: DataFrame) -> DataFrame:
-    return reset_starts(log, "earliest")
+def _bounds(log: DataFrame, bounds: DataFrame | None) -> DataFrame:
+    return topic_bounds(log) if bounds is None else bounds
 
 
-def seek_to_end(log: DataFrame) -> DataFrame:
-    return reset_starts(log, "latest")
+def seek_to_beginning(log: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
+    return reset_starts(log, "earliest", bounds)
 
 
-def resume(log: DataFrame, commits: DataFrame, group: str, reset: str = "earliest") -> DataFrame:
+def seek_to_end(log: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
+    return reset_starts(log, "latest", bounds)
+
+
+def resume(log: DataFrame, commits: DataFrame, group: str, reset: str = "earliest", bounds: DataFrame | None = None) -> DataFrame:
     """The committed offset (already the *next* one to read), else the reset policy."""
     return (
-        reset_starts(log, reset)
+        reset_starts(log, reset, bounds)
         .withColumnRenamed("start_offset", "fallback")
         .join(latest_commits(commits, group), TP, "left")
         .select(*TP, F.coalesce("commit_offset", "fallback").alias("start_offset"))
     )
 
 
-def seek(log: DataFrame, offset: int | DataFrame) -> DataFrame:
+def seek(log: DataFrame, offset: int | DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     """One explicit offset for all partitions, or a map ``(topic, partition, start_offset)``;
     partitions the map does not name stay at their begin.
 
-    Negative offsets and offsets past the end are errors; the end itself is allowed.
+    Negative offsets, offsets past the end and partitions that the log does not have are errors; the
+    end itself is allowed.
     """
-    bounds = topic_bounds(log)
+    bounds = _bounds(log, bounds)
     if isinstance(offset, DataFrame):
         named = offset.groupBy(*TP).agg(F.min("start_offset").alias("start_offset"))
-        starts = bounds.join(named, TP, "left").withColumn("start_offset", F.coalesce("start_offset", "begin_offset"))
+        starts = bounds.join(named, TP, "full").withColumn("start_offset", F.coalesce("start_offset", "begin_offset"))
     else:
         starts = bounds.withColumn("start_offset", F.lit(offset).cast("long"))
-    wrong = (F.col("start_offset") < 0) | (F.col("start_offset") > F.col("end_offset"))
+    wrong = F.col("end_offset").isNull() | (F.col("start_offset") < 0) | (F.col("start_offset") > F.col("end_offset"))
     message = F.concat(
         F.lit("cannot seek "), "topic", F.lit("-"), "partition", F.lit(" to "), "start_offset"
     )
@@ -120,10 +126,10 @@ def seek_to_timestamp(log: DataFrame, at: datetime | str) -> DataFrame:
     return offsets_for_time(log, at)
 
 
-def resolve(log: DataFrame, resolver: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def resolve(log: DataFrame, resolver: Callable[[DataFrame], DataFrame], bounds: DataFrame | None = None) -> DataFrame:
     """A user function from ``(topic, partition, begin_offset, end_offset, position)`` to a
     start map, applied when partitions are assigned. Partitions it leaves out start at their position."""
-    assigned = topic_bounds(log).drop("entries").withColumn("position", F.col("begin_offset"))
+    assigned = _bounds(log, bounds).drop("entries").withColumn("position", F.col("begin_offset"))
     chosen = resolver(assigned).select(*TP, F.col("start_offset").alias("chosen"))
     return assigned.join(chosen, TP, "left").select(
         *TP, F.coalesce("chosen", "position").alias("start_offset")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from logweave.schema import LOG, LOG_COLUMNS, TP
+from logweave.sources import manifest
 
 
 def selection(
@@ -67,8 +68,26 @@ class TopicLog:
 
     def append(self, entries: DataFrame) -> None:
         """Write entries whose offsets are already assigned (see ``operators.send``), in offset order
-        inside every file."""
+        inside every file, and describe the new files in the manifest."""
         entries.sortWithinPartitions(*TP, "offset").write.mode("append").partitionBy(*TP).parquet(self.path)
+        self.describe()
+
+    def describe(self) -> None:
+        """Add the files that others wrote to the manifest (see ``sources.manifest``)."""
+        manifest.extend(self.spark, self.path)
+
+    def _described(self, topics=None, pattern=None, assignment=None) -> DataFrame:
+        rows = manifest.described(self.spark, self.path)
+        everything = topics is pattern is assignment is None
+        return rows if everything else rows.where(selection(topics, pattern, assignment))
+
+    def bounds(self, topics=None, pattern=None, assignment=None) -> DataFrame:
+        """``catalog.topic_bounds`` of the selection (default: all), from the manifest."""
+        return manifest.bounds(self._described(topics, pattern, assignment))
+
+    def offsets_for_times(self, targets: DataFrame) -> DataFrame:
+        """``catalog.offsets_for_times`` by the time index: ``targets(topic, partition, target)``."""
+        return manifest.first_at_or_after(self.spark, self.path, self._described(), targets)
 
 
 def kafka_options(

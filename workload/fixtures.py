@@ -114,6 +114,7 @@ def _write_log(spark: SparkSession, sf: str, path: str) -> None:
     entries = to_entries(sent).columns
     rows = sent.withColumns({"timestampType": F.lit(0), "is_control": F.lit(False)}).select(*entries, "correlation")
     rows.sortWithinPartitions(*TP, "offset").write.partitionBy(*TP).parquet(path)
+    TopicLog(spark, path).describe()
 
 
 def topic_log(spark: SparkSession, sf: str) -> TopicLog:
@@ -125,6 +126,11 @@ def event_log(spark: SparkSession, sf: str) -> DataFrame:
     return topic_log(spark, sf).read(topics=["events"])
 
 
+def event_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Begin, end and number of entries of topic ``events``, from the manifest of the log."""
+    return topic_log(spark, sf).bounds(topics=["events"])
+
+
 def deliveries(spark: SparkSession, sf: str) -> DataFrame:
     """Entries of topic ``events`` with what their sender knows: ``id``, ``value``, ``kind``."""
     path = topic_log(spark, sf).path

@@ -52,7 +52,7 @@ SELECT part_id, COALESCE(commit_offset, n) AS start_offset, n - COALESCE(commit_
 )
 def scan_reset_latest(spark, sf):
     log = fx.event_log(spark, sf)
-    return _counted(log, starts.resume(log, fx.commits(spark, sf), "g", "latest"))
+    return _counted(log, starts.resume(log, fx.commits(spark, sf), "g", "latest", fx.event_bounds(spark, sf)))
 
 
 @query(
@@ -68,7 +68,7 @@ def resume_group(spark, sf):
 @query(f"WITH {L} SELECT part_id, log_offset FROM l WHERE log_offset >= 1")
 def seek_offset(spark, sf):
     log = fx.event_log(spark, sf)
-    return fx.plain(starts.read_from(log, starts.seek(log, 1)).select("partition", "offset"))
+    return fx.plain(starts.read_from(log, starts.seek(log, 1, fx.event_bounds(spark, sf))).select("partition", "offset"))
 
 
 @query(f"WITH {L} SELECT part_id, MIN(log_offset) AS start_offset, COUNT(*) AS records FROM l GROUP BY part_id")
@@ -80,7 +80,7 @@ def seek_begin(spark, sf):
 @query(f"WITH {L} SELECT part_id, MAX(log_offset) + 1 AS start_offset, CAST(0 AS BIGINT) AS records FROM l GROUP BY part_id")
 def seek_end(spark, sf):
     log = fx.event_log(spark, sf)
-    return _counted(log, starts.seek_to_end(log))
+    return _counted(log, starts.seek_to_end(log, fx.event_bounds(spark, sf)))
 
 
 @query(
@@ -105,7 +105,7 @@ def start_resolver(spark, sf):
         size = F.col("end_offset") - F.col("begin_offset")
         return assigned.withColumn("start_offset", F.col("end_offset") - F.call_function("div", size, F.lit(10)))
 
-    return fx.plain(starts.read_from(log, starts.resolve(log, last_tenth)).select("partition", "offset"))
+    return fx.plain(starts.read_from(log, starts.resolve(log, last_tenth, fx.event_bounds(spark, sf))).select("partition", "offset"))
 
 
 @query(
@@ -120,7 +120,7 @@ def list_partitions(spark, sf):
     f"""WITH {L} SELECT part_id, MIN(log_offset) AS begin_offset, MAX(log_offset) + 1 AS end_offset, COUNT(*) AS entries FROM l GROUP BY part_id"""
 )
 def topic_bounds(spark, sf):
-    return fx.plain(catalog.topic_bounds(fx.event_log(spark, sf)).drop("topic"))
+    return fx.plain(fx.event_bounds(spark, sf).drop("topic"))
 
 
 @query(
@@ -136,14 +136,14 @@ SELECT topic, part_id, MIN(CASE WHEN ts >= target THEN log_offset END) AS found_
 )
 def offsets_for_times(spark, sf):
     """The target of a partition is the time of its last event that was not slow."""
-    log = fx.topic_log(spark, sf).read(pattern="ev-.*")
+    log = fx.topic_log(spark, sf)
     targets = (
         fx.events(spark, sf)
         .where(F.col("value") <= 100)
         .groupBy(F.concat(F.lit("ev-"), "event_type").alias("topic"), fx.user_partition().alias("partition"))
         .agg(F.max("ts").alias("target"))
     )
-    return fx.plain(catalog.offsets_for_times(log, targets))
+    return fx.plain(log.offsets_for_times(targets))
 
 
 @query(
@@ -152,7 +152,7 @@ SELECT part_id, begin_offset, end_offset, commit_offset, COALESCE(commit_offset,
  end_offset - COALESCE(commit_offset, begin_offset) AS lag FROM e LEFT JOIN cm USING (part_id)"""
 )
 def consumer_lag(spark, sf):
-    lag = catalog.consumer_lag(fx.event_log(spark, sf), fx.commits(spark, sf), "g")
+    lag = catalog.consumer_lag(None, fx.commits(spark, sf), "g", bounds=fx.event_bounds(spark, sf))
     return fx.plain(lag.drop("topic"))
 
 
