@@ -3,8 +3,9 @@
 Every task indexes its documents in one pass: a block of postings (term to documents of the language
 and occurrences by source) grows until ``BLOCK`` postings fill it, is sorted by hash shard and term
 and leaves as a run, in chunks of ``CHUNK`` terms. A task per shard gets the chunks of all runs in the
-order of their first terms and merges them by a heap, so it holds those chunks only that reach across
-the term at hand, and writes the frequencies of the terms that enough documents of a language have.
+order of their first terms and merges them by a heap, a slice of terms at a time, so it holds those
+chunks only that reach across the slice, and writes the frequencies of the terms that enough documents
+of a language have.
 
 Smoothed shares ``p`` of a term in a source and the sum of ``f(p, q)`` over all terms follow from the
 frequencies. Most terms are absent from most sources, so the sum of a pair starts as if all were
@@ -22,7 +23,7 @@ from __future__ import annotations
 import heapq
 import pickle
 import zlib
-from collections import Counter
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,79 +35,166 @@ from logweave.llm.common import LOWER, UPPER, broadcast_if_small, parts_for, pyt
 
 #: Documents of a language that a kept term has at least; terms reported for each group.
 LEAST_DOCS, TOP = 10, 10
-#: Postings of a block, terms of a chunk, text bytes behind one shard, sums of pairs a task holds.
-BLOCK, CHUNK, SHARD_BYTES, HELD = 400_000, 2_000, 256 << 20, 1 << 20
+#: Postings of a block and those that wait to be added to it, terms of a chunk.
+BLOCK, PENDING, CHUNK = 1_000_000, 1 << 18, 2_000
+#: Text bytes behind one shard, sums of pairs that a task holds.
+SHARD_BYTES, HELD = 256 << 20, 1 << 20
 #: Scale and smoothing of shares.
 SCALE, EXTRA = 1_000_000_000, 2
 #: Letters as they count (A to Z in lower case), all other ASCII as blanks.
 FOLD = bytes(ord(LOWER[UPPER.index(chr(b))]) if chr(b) in UPPER else b if chr(b) in LOWER or b > 127 else 32 for b in range(256))
-#: Between language and term of a key: in no UTF-8 text.
-BETWEEN = b"\xff"
+#: Between language and term of a key, and between keys: in no UTF-8 text.
+BETWEEN, END = b"\xff", b"\xfe"
 
 
 def terms(text: bytes) -> list[bytes]:
     return text.translate(FOLD).split()
 
 
+class Ids(dict):
+    """Numbers terms as they come."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = n = len(self)
+        return n
+
+
+def summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys in order and the sums of their values."""
+    key, value = np.concatenate(keys), np.concatenate(values)
+    order = np.argsort(key, kind="stable")
+    key, value = key[order], value[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(value, first) if len(first) else value
+
+
+class Postings:
+    """Of one language in a block: term to its documents, and to its occurrences in each source. New
+    ones are added to the sums ``PENDING`` at a time."""
+
+    def __init__(self):
+        self.ids, self.sources = Ids(), Ids()
+        self.docs, self.occurrences = ([], []), ([], [])
+        self.pending = self.settled = 0
+
+    def add(self, source: bytes, found: list[bytes]) -> None:
+        term, n = np.unique(np.fromiter(map(self.ids.__getitem__, found), np.int64, len(found)), return_counts=True)
+        place = self.sources[source]
+        for (keys, values), key, value in ((self.docs, term, np.ones(len(term), np.int64)), (self.occurrences, term << 32 | place, n)):
+            keys.append(key)
+            values.append(value)
+        self.pending += len(term)
+
+    def settle(self) -> None:
+        self.docs, self.occurrences = (tuple([x] for x in summed(*both)) for both in (self.docs, self.occurrences))
+        self.pending, self.settled = 0, len(self.occurrences[0][0])
+
+
 class Block:
     """Postings of the documents since the last run."""
 
     def __init__(self, shards: int):
         self.shards, self.size = shards, 0
-        self.docs: dict[bytes, Counter] = {}
-        self.occurrences: dict[tuple[bytes, bytes], Counter] = {}
+        self.langs: dict[bytes, Postings] = {}
 
     def add(self, lang: bytes, source: bytes, text: bytes) -> None:
-        found = terms(text)
-        for postings, new in ((self.docs.setdefault(lang, Counter()), set(found)), (self.occurrences.setdefault((lang, source), Counter()), found)):
-            before = len(postings)
-            postings.update(new)
-            self.size += len(postings) - before
+        if not (found := terms(text)):
+            return
+        own = self.langs.setdefault(lang, Postings())
+        own.add(source, found)
+        if own.pending >= PENDING:
+            self.size -= own.settled
+            own.settle()
+            self.size += own.settled
 
     def run(self) -> Iterator[tuple[int, bytes, bytes]]:
-        """(shard, first key, chunk) of all postings in the order of shard and key; leaves none."""
-        postings = {lang + BETWEEN + term: (n, []) for lang, docs in self.docs.items() for term, n in docs.items()}
-        for (lang, source), found in self.occurrences.items():
-            for term, n in found.items():
-                postings[lang + BETWEEN + term][1].append((source, n))
-        self.docs, self.occurrences, self.size = {}, {}, 0
-        dealt: dict[int, list[bytes]] = {}
-        for key in sorted(postings):
-            dealt.setdefault(zlib.crc32(key) % self.shards, []).append(key)
-        for shard in sorted(dealt):
-            for i in range(0, len(dealt[shard]), CHUNK):
-                keys = dealt[shard][i : i + CHUNK]
-                yield shard, keys[0], pickle.dumps([(key, *postings[key]) for key in keys])
-
-
-def merged(chunks: Iterable[tuple[int, bytes, bytes]]) -> Iterator[tuple[bytes, int, Counter]]:
-    """(key, documents, occurrences by source) from chunks in the order of shard and first key."""
+        """(shard, first key, chunk) of all postings, of a shard in the order of keys; leaves none. A
+        chunk: keys, documents, and (place of the key, place of the source, occurrences) with the sources."""
+        for lang, own in self.langs.items():
+            own.settle()
+            names = [lang + BETWEEN + term for term in own.ids]
+            order = np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)
+            shard = np.fromiter((zlib.crc32(x) % self.shards for x in names), np.int64, len(names))
+            order = order[np.argsort(shard[order], kind="stable")]
+            place = np.empty(len(names), np.int64)
+            place[order] = np.arange(len(names))
+            docs = own.docs[1][0][order]  # every term has documents, so keys are 0, 1, 2, ...
+            at = place[own.occurrences[0][0] >> 32]
+            by_place = np.argsort(at, kind="stable")
+            at, source, n = at[by_place], own.occurrences[0][0][by_place] & 0xFFFFFFFF, own.occurrences[1][0][by_place]
+            ends = np.searchsorted(shard[order], np.arange(self.shards + 1))
+            for j, (begin, end) in enumerate(zip(ends[:-1], ends[1:])):
+                for i in range(begin, end, CHUNK):
+                    last = min(i + CHUNK, end)
+                    lo, hi = np.searchsorted(at, [i, last])
+                    keys = [names[k] for k in order[i:last].tolist()]
+                    chunk = (END.join(keys), docs[i:last], at[lo:hi] - i, source[lo:hi], n[lo:hi], list(own.sources))
+                    yield j, keys[0], pickle.dumps(chunk)
+        self.langs, self.size = {}, 0
+
+
+class Cursor:
+    """An open chunk and how far it is merged."""
+
+    def __init__(self, chunk: bytes):
+        keys, self.docs, self.place, self.source, self.n, self.sources = pickle.loads(chunk)
+        self.keys, self.done = keys.split(END), 0
+
+    def upto(self, end: bytes | None) -> tuple:
+        """(keys, documents, places, sources, occurrences) of the keys before ``end`` that are left."""
+        i, j = self.done, len(self.keys) if end is None else bisect_left(self.keys, end, self.done)
+        lo, hi = np.searchsorted(self.place, [i, j])
+        self.done = j
+        return self.keys[i:j], self.docs[i:j], self.place[lo:hi] - i, self.source[lo:hi], self.n[lo:hi], self.sources
+
+
+def together(parts: list[tuple], least_docs: int) -> Iterator[tuple[bytes, int, list[bytes], list[int]]]:
+    """The sums of slices with complete keys: (key, documents, sources, occurrences) of kept ones."""
+    ids, sources = Ids(), Ids()
+    own = [np.fromiter(map(ids.__getitem__, keys), np.int64, len(keys)) for keys, *_ in parts]
+    docs = np.zeros(len(ids), np.int64)
+    np.add.at(docs, np.concatenate(own), np.concatenate([p[1] for p in parts]))
+    kept = docs >= least_docs
+    if not kept.any():
+        return
+    pairs, counts = [], []
+    for number, (_, _, place, source, n, names) in zip(own, parts):
+        term = number[place]
+        stays = kept[term]
+        named = np.array([sources[x] for x in names], np.int64)
+        pairs.append(term[stays] << 32 | named[source[stays]])
+        counts.append(n[stays])
+    pair, count = summed(pairs, counts)
+    keys, names = list(ids), list(sources)
+    first = np.searchsorted(pair >> 32, np.flatnonzero(kept)).tolist() + [len(pair)]
+    of, count = (pair & 0xFFFFFFFF).tolist(), count.tolist()
+    for k, i, j in zip(np.flatnonzero(kept).tolist(), first, first[1:]):
+        yield keys[k], int(docs[k]), [names[x] for x in of[i:j]], count[i:j]
+
+
+def merged(chunks: Iterable[tuple[int, bytes, bytes]], least_docs: int = 1) -> Iterator[tuple[bytes, int, list[bytes], list[int]]]:
+    """(key, documents, sources, occurrences) of the keys in enough documents, from chunks in the order
+    of shard and first key. The heap holds the open chunks by their next keys: what lies before the
+    first key of the chunk to come is complete and leaves them."""
     heap, last = [], None
-    now: list = [None, 0, Counter()]
-
-    def upto(end: bytes | None) -> Iterator[tuple[bytes, int, Counter]]:
-        """The keys before ``end`` whose postings are complete."""
-        while heap and (end is None or heap[0][0][0] < end):
-            (key, docs, found), n, rest = heap[0]
-            if (entry := next(rest, None)) is None:
-                heapq.heappop(heap)
-            else:
-                heapq.heapreplace(heap, (entry, n, rest))
-            if key != now[0]:
-                if now[0] is not None:
-                    yield tuple(now)
-                now[:] = [key, 0, Counter()]
-            now[1] += docs
-            for source, count in found:
-                now[2][source] += count
+
+    def upto(end: bytes | None) -> Iterator[tuple[bytes, int, list[bytes], list[int]]]:
+        parts, left = [], []
+        while heap and (end is None or heap[0][0] < end):
+            _, n, cursor = heapq.heappop(heap)
+            parts.append(cursor.upto(end))
+            if cursor.done < len(cursor.keys):
+                left.append((cursor.keys[cursor.done], n, cursor))
+        for item in left:
+            heapq.heappush(heap, item)
+        if parts:
+            yield from together(parts, least_docs)
 
     for n, (shard, first, chunk) in enumerate(chunks):
         yield from upto(None if shard != last else first)
-        last, entries = shard, iter(pickle.loads(chunk))
-        heapq.heappush(heap, (next(entries), n, entries))
+        last = shard
+        heapq.heappush(heap, (first, n, Cursor(chunk)))
     yield from upto(None)
-    if now[0] is not None:
-        yield tuple(now)
 
 
 def named(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
@@ -135,13 +223,12 @@ def frequencies(rows: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
         out = []
 
         def flush() -> pa.RecordBatch:
-            pairs = pa.array([[{"source": s, "n": n} for s, n in found.items()] for _, _, found in out], pa.list_(pa.struct([("source", pa.binary()), ("n", pa.int64())])))
-            keys = [key.split(BETWEEN) for key, _, _ in out]
-            return pa.record_batch([pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.binary()), pa.array([d for _, d, _ in out], pa.int64()), pairs], ["lang", "term", "docs", "postings"])
+            pairs = pa.array([[{"source": s, "n": n} for s, n in zip(*found)] for _, _, *found in out], pa.list_(pa.struct([("source", pa.binary()), ("n", pa.int64())])))
+            keys = [key.split(BETWEEN) for key, *_ in out]
+            return pa.record_batch([pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.binary()), pa.array([x[1] for x in out], pa.int64()), pairs], ["lang", "term", "docs", "postings"])
 
-        for entry in merged(chunks):
-            if entry[1] >= least_docs:
-                out.append(entry)
+        for entry in merged(chunks, least_docs):
+            out.append(entry)
             if len(out) == 4096:
                 yield flush()
                 out.clear()
@@ -149,7 +236,7 @@ def frequencies(rows: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
 
     binary = rows.select(*[F.col(c).cast("binary").alias(c) for c in ("text", "lang", "source")])
     runs = stage(binary.mapInArrow(index, "shard int, first binary, chunk binary"), "runs")
-    dealt = runs.repartition(shards, "shard").sortWithinPartitions("shard", "first")
+    dealt = runs.repartitionById(shards, "shard").sortWithinPartitions("shard", "first")
     found = dealt.mapInArrow(merge, "lang binary, term binary, docs long, postings array<struct<source:binary,n:long>>")
     postings = F.transform("postings", lambda x: F.struct(x["source"].cast("string").alias("source"), x["n"].alias("n")))
     return stage(found.select(F.col("lang").cast("string").alias("lang"), F.col("term").cast("string").alias("term"), "docs", postings.alias("postings")), "frequencies")
