@@ -3,10 +3,11 @@
 from collections import Counter
 
 import duckdb
+from pyspark.sql import functions as F
 from rows import awkward, empty  # noqa: F401
 from test_basics import jump
 from test_decontaminate import plain as plain_contamination
-from test_simhash import plain_classes, plain_fingerprint
+from test_shingles import plain_kept
 
 import corpus_pipeline
 from logweave.llm import queries
@@ -33,8 +34,7 @@ def test_stages(spark):
     assert good.columns == columns and ids(good) == sorted(kept) and len(kept) < docs.count()
 
     single = stage(steps[1](spark, good, SF_DIR), "t2")
-    prints = [(r.doc_id, plain_fingerprint(r.text)) for r in good.collect()]
-    assert single.columns == columns and ids(single) == sorted(set(plain_classes(prints).values())) and single.count() < good.count()
+    assert single.columns == columns and ids(single) == plain_kept([(r.doc_id, r.text) for r in good.collect()]) and single.count() < good.count()
 
     clean = stage(steps[2](spark, single, SF_DIR), "t3")
     items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
@@ -55,3 +55,12 @@ def test_awkward_and_empty(spark, awkward, empty):
     for docs in (awkward, empty):
         for _, step in corpus_pipeline.STAGES:
             assert step(spark, docs, SF_DIR).count() <= 3 * docs.count()
+
+
+def test_extra_columns_with_clashing_names(spark, awkward):
+    plain = {name: step(spark, awkward, SF_DIR).count() for name, step in corpus_pipeline.STAGES}
+    docs = awkward.withColumns({"n": F.lit("clash"), "token": F.lit(1), "component": F.lit(None).cast("string"), "size": F.lit("x")})
+    for name, step in corpus_pipeline.STAGES:
+        result = step(spark, docs, SF_DIR)
+        assert result.count() == plain[name] and set(docs.columns) <= set(result.columns)
+        assert {r.n for r in result.collect()} <= {"clash"}
