@@ -60,6 +60,18 @@ def start(stream: DataFrame, each: BatchFunction, checkpoint: str, mode: str = "
     )
 
 
+def drain(stream: DataFrame, each: BatchFunction, checkpoint: str) -> int:
+    """Run bounded micro-batches until nothing waits, stop, and return the number of the last batch (-1: none).
+    For sources that bound their batches themselves (``sources.offset_stream``)."""
+    query = start(stream, each, checkpoint, processingTime="0 seconds")
+    try:
+        query.processAllAvailable()
+        progress = query.lastProgress
+        return -1 if progress is None else progress["batchId"]
+    finally:
+        query.stop()
+
+
 def to_files(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Continuous receive into parquet files, each record once."""
     return (

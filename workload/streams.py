@@ -11,6 +11,7 @@ from logweave.operators import commits, records, stats
 from logweave.schema import LOG, TP
 from logweave.session import new_dir
 from logweave.sources import starts
+from logweave.sources.offset_stream import read_by_offsets
 from logweave.sources.topic_log import TopicLog
 from logweave.streaming import runs, stateful
 from logweave.streaming.transactional import TransactionAborted, TxnSink, exactly_once
@@ -83,6 +84,34 @@ def receive_batches(spark, sf):
     return fx.plain(records.flatten(runs.read_batches(spark, out)).select("partition", "offset"))
 
 
+@query(
+    f"""WITH {L} SELECT part_id, COUNT(*) AS records, MIN(log_offset) AS first_offset, MAX(log_offset) AS last_offset, COUNT(DISTINCT log_offset) AS distinct_offsets,
+ SUM(user_id)::BIGINT AS users, MAX(ts) AS ts, TRUE AS bounded FROM l GROUP BY part_id"""
+)
+def receive_by_offsets_stream(spark, sf):
+    """Batches of at most a ninth of the records, cut at offsets, whatever files there are."""
+    out, checkpoint = folder(spark)
+    bound = fx.event_log(spark, sf).count() // 9 + 1
+
+    def run(log):
+        log.describe()
+        stream = read_by_offsets(spark, log.path, topics=["events"], max_records=bound, position=f"{checkpoint}-position")
+        runs.drain(stream, runs.batches_to(out), checkpoint)
+
+    replay_log(spark, sf, run)
+    received = runs.read_batches(spark, out)
+    largest = received.groupBy("batch_id").count().agg(F.coalesce(F.max("count") <= bound, F.lit(True)).alias("bounded"))
+    by_partition = received.groupBy("partition").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+        F.countDistinct("offset").alias("distinct_offsets"),
+        F.sum(bytes_to_int(F.col("key")).cast("int").cast("long")).alias("users"),
+        F.max("timestamp").alias("timestamp"),
+    )
+    return fx.plain(by_partition.withColumn("bounded", F.lit(largest.first()[0])))
+
+
 @query(f"WITH {L} SELECT part_id, MAX(log_offset) + 1 AS commit_offset FROM l GROUP BY part_id")
 def auto_ack_stream(spark, sf):
     out, checkpoint = folder(spark)
