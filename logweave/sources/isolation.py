@@ -40,12 +40,14 @@ def last_stable_offsets(log: DataFrame, txns: DataFrame) -> DataFrame:
     )
 
 
-def read_committed(log: DataFrame, txns: DataFrame, stable: DataFrame | None = None) -> DataFrame:
-    """Entries a read-committed reader gets. ``stable``: the result of
-    :func:`last_stable_offsets` if the caller has it already."""
+def read_committed(log: DataFrame, txns: DataFrame, stable: DataFrame | None = None, aborted: DataFrame | None = None) -> DataFrame:
+    """Entries a read-committed reader gets. ``stable``: the result of :func:`last_stable_offsets` if the
+    caller has it already; ``aborted``: the aborted transactions (txn_id) that ``log`` can hold. Over a
+    stored log ``TopicLog.read_committed`` takes both from its index."""
     if stable is None:
         stable = last_stable_offsets(log, txns)
-    aborted = txns.where(F.col("state") == "aborted").select("txn_id").distinct()
+    if aborted is None:
+        aborted = txns.where(F.col("state") == "aborted").select("txn_id").distinct()
     visible = (
         attach(read_uncommitted(log), stable, TP)
         .where(F.col("stable_offset").isNull() | (F.col("offset") < F.col("stable_offset")))

@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
+from logweave.plans.small import settle
 from logweave.schema import LOG, LOG_COLUMNS, TP
-from logweave.sources import manifest
+from logweave.sources import isolation, manifest, txn_index
+from logweave.sources.starts import read_from
 
 
 def selection(
@@ -73,8 +75,10 @@ class TopicLog:
         self.describe()
 
     def describe(self) -> None:
-        """Add the files that others wrote to the manifest (see ``sources.manifest``)."""
+        """Add the files that others wrote to the manifest and to the index of transactions (see
+        ``sources.manifest`` and ``sources.txn_index``)."""
         manifest.extend(self.spark, self.path)
+        txn_index.extend(self.spark, self.path)
 
     def _described(self, topics=None, pattern=None, assignment=None) -> DataFrame:
         rows = manifest.described(self.spark, self.path)
@@ -89,6 +93,17 @@ class TopicLog:
         """``catalog.offsets_for_times`` by the time index: ``targets(topic, partition, target)``."""
         return manifest.first_at_or_after(self.spark, self.path, self._described(), targets)
 
+    def read_committed(self, txns: DataFrame, topics=None, pattern=None, assignment=None, starts: DataFrame | None = None) -> DataFrame:
+        """``isolation.read(..., "read_committed", starts)`` of the selection. Open and aborted transactions come
+        from the index, so the log is read once, from the start map on."""
+        chosen = selection(topics, pattern, assignment)
+        spans, markers = txn_index.spans(self.spark, self.path).where(chosen), settle(txns.select("txn_id", "state"))
+        stable = settle(txn_index.stable_offsets(spans, markers))
+        entries = self.read(topics, pattern, assignment)
+        if starts is not None:
+            entries = read_from(entries, starts)
+        return isolation.read_committed(entries, markers, stable, txn_index.aborted_within(spans, markers, stable, starts))
+
 
 def kafka_options(
     servers: str,

@@ -162,8 +162,8 @@ v AS (SELECT *, MIN(CASE WHEN state = 'open' THEN log_offset END) OVER (PARTITIO
 SELECT part_id, log_offset, ts FROM v WHERE (stable IS NULL OR log_offset < stable) AND (state IS NULL OR state <> 'aborted')"""
 )
 def read_committed(spark, sf):
-    log = fx.event_log(spark, sf)
-    return fx.plain(isolation.read(log, fx.txns(spark, sf), "read_committed").select("partition", "offset", "timestamp"))
+    visible = fx.topic_log(spark, sf).read_committed(fx.txns(spark, sf), topics=["events"])
+    return fx.plain(visible.select("partition", "offset", "timestamp"))
 
 
 @query(f"WITH {L} SELECT part_id, COUNT(*) AS visible, MAX(log_offset) AS last_visible FROM l GROUP BY part_id")
