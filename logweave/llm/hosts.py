@@ -11,21 +11,19 @@ Links of a host to itself say nothing and are left out; edges carry the number o
 reaches a host without links ends there.
 
 Edge cases: a null url or one without ``://`` has an empty host and path, fits no rule with a host,
-and takes part in no edge; null html has no links; equal rows are judged alike; of two longest
+and takes part in no edge; null html has no links; urls and html of any length are read whole; equal rows are judged alike; of two longest
 rules of equal length a blocking one wins; hosts without seeds in reach are allowed; empty tables
 give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.common import ascii_lower, broadcast_if_small, stage
 
-DAMPING, ITERATIONS, THRESHOLD = 0.85, 10, 0.5
+DAMPING, THRESHOLD = 0.85, 0.5
 #: Units of trust and distrust that one turn may still move, over all hosts, when propagation ends.
 TOLERANCE = 1e-6
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
@@ -70,40 +68,33 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return found.select("src", dst.alias("dst")).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def spread(seeds: DataFrame, edges: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING, tolerance: float | None = None) -> DataFrame:
+def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust) from seeds (host, allowed, blocked: doubles). Every turn is two joins of
     the edges with the last ranks and one aggregate, and is staged.
 
-    With ``tolerance``, turns go on until one moves at most that many units, summed over all hosts (or
-    what doubles can tell apart); they start from the part of the seeds that stays where it is, so ranks
-    only grow and no unfinished mass is counted. Without, there are ``iterations`` turns from the
-    whole seeds, and what is still on its way after them counts where it is."""
+    Turns start from the part of the seeds that stays where it is, so ranks only grow and no unfinished
+    mass is counted. They go on until one moves at most ``tolerance`` units, summed over all hosts, or
+    what doubles can tell apart."""
     out = edges.groupBy("src").agg(F.sum("links").alias("n_out"))
     back = edges.groupBy("dst").agg(F.sum("links").alias("n_in"))
     shares = stage(edges.join(out, "src").join(back, "dst").select("src", "dst", (F.col("links") / F.col("n_out")).alias("ahead"), (F.col("links") / F.col("n_in")).alias("behind")), "edges")
-    start = stage(seeds.select("host", F.col("allowed").alias("trust"), F.col("blocked").alias("distrust")).where("trust > 0 or distrust > 0"), "seeds")
-    keep = F.lit(1 - damping)
-    ranks = start if tolerance is None else start.select("host", (keep * F.col("trust")).alias("trust"), (keep * F.col("distrust")).alias("distrust"))
+    keep, zero = F.lit(1 - damping), F.lit(0.0)
+    start = stage(
+        seeds.where("allowed > 0 or blocked > 0").select("host", (keep * F.col("allowed")).alias("trust"), (keep * F.col("blocked")).alias("distrust")), "seeds"
+    )
     mass = lambda df: df.agg(F.sum(F.col("trust") + F.col("distrust"))).first()[0] or 0.0
-    total = mass(ranks) if tolerance is not None else 0.0
-    least = max((tolerance or 0.0) * (1 - damping), 1e-13 * total)
-    for _ in range(iterations) if tolerance is None else count():
-        zero = F.lit(0.0)
-        flow = shares.join(ranks.withColumnRenamed("host", "src"), "src").select(F.col("dst").alias("host"), (damping * F.col("trust") * F.col("ahead")).alias("trust"), zero.alias("distrust"))
-        flow = flow.unionAll(
-            shares.join(ranks.withColumnRenamed("host", "dst"), "dst").select(F.col("src").alias("host"), zero.alias("trust"), (damping * F.col("distrust") * F.col("behind")).alias("distrust"))
-        ).unionAll(start.select("host", ((1 - damping) * F.col("trust")).alias("trust"), ((1 - damping) * F.col("distrust")).alias("distrust")))
+    ranks, total, before = start, mass(start), None
+    while before is None or total - before > max(tolerance * (1 - damping), 1e-13 * total):
+        ahead = shares.join(ranks.withColumnRenamed("host", "src"), "src").select(F.col("dst").alias("host"), (damping * F.col("trust") * F.col("ahead")).alias("trust"), zero.alias("distrust"))
+        behind = shares.join(ranks.withColumnRenamed("host", "dst"), "dst").select(F.col("src").alias("host"), zero.alias("trust"), (damping * F.col("distrust") * F.col("behind")).alias("distrust"))
+        flow = ahead.unionAll(behind).unionAll(start)
         ranks = stage(flow.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "ranks")
-        if tolerance is not None:
-            before, total = total, mass(ranks)
-            if total - before <= max(least, 1e-13 * total):
-                break
-    return ranks.select("host", (F.col("trust") / (1 - damping)).alias("trust"), (F.col("distrust") / (1 - damping)).alias("distrust"))
+        before, total = total, mass(ranks)
+    return ranks.select("host", (F.col("trust") / keep).alias("trust"), (F.col("distrust") / keep).alias("distrust"))
 
 
-def judge(pages: DataFrame, rules: DataFrame, threshold: float = THRESHOLD, page: str = "page_id", url: str = "url", html: str = "html", tolerance: float | None = None) -> DataFrame:
-    """Per page: page, host, path, rule, verdict, and the trust and distrust of its host. ``tolerance`` as
-    in :func:`spread`; ``TOLERANCE`` gives finished ranks."""
+def judge(pages: DataFrame, rules: DataFrame, threshold: float = THRESHOLD, page: str = "page_id", url: str = "url", html: str = "html", tolerance: float = TOLERANCE) -> DataFrame:
+    """Per page: page, host, path, rule, verdict, and the finished trust and distrust of its host."""
     ruled = stage(by_rules(pages, rules, page, url), "ruled")
     counted = stage(
         ruled.groupBy("host").agg(
