@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
-from logweave.plans.small import settle
+from logweave.plans.small import bounded, relation, settle
 from logweave.schema import LOG, LOG_COLUMNS, TP
 from logweave.sources import isolation, manifest, txn_index
 from logweave.sources.starts import read_from
@@ -96,13 +96,16 @@ class TopicLog:
     def read_committed(self, txns: DataFrame, topics=None, pattern=None, assignment=None, starts: DataFrame | None = None) -> DataFrame:
         """``isolation.read(..., "read_committed", starts)`` of the selection. Open and aborted transactions come
         from the index, so the log is read once, from the start map on."""
-        chosen = selection(topics, pattern, assignment)
-        spans, markers = txn_index.spans(self.spark, self.path).where(chosen), settle(txns.select("txn_id", "state"))
+        spans = txn_index.spans(self.spark, self.path, selection(topics, pattern, assignment))
+        few = bounded(txns.select("txn_id", "state"))
+        markers = txns if few is None else relation(txns.select("txn_id", "state"), few)
         stable = settle(txn_index.stable_offsets(spans, markers))
+        if few is None:
+            aborted = txn_index.aborted_within(spans, markers, stable, starts)
+        else:
+            aborted = markers.where(F.col("state") == "aborted").select("txn_id")
         entries = self.read(topics, pattern, assignment)
-        if starts is not None:
-            entries = read_from(entries, starts)
-        return isolation.read_committed(entries, markers, stable, txn_index.aborted_within(spans, markers, stable, starts))
+        return isolation.read_committed(entries if starts is None else read_from(entries, starts), markers, stable, aborted)
 
 
 def kafka_options(

@@ -11,9 +11,10 @@ markers; the log is read once, for the records.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweave.plans.small import settle
 from logweave.schema import TP
 from logweave.session import exists
 from logweave.sources.isolation import last_stable_offsets
@@ -48,14 +49,16 @@ def extend(spark: SparkSession, path: str) -> None:
         new.coalesce(1).write.mode("append").parquet(f"{path}/_spans")
 
 
-def spans(spark: SparkSession, path: str) -> DataFrame:
-    """(topic, partition, txn_id, first_offset, last_offset) per file, of all files there are, described or not."""
-    known = _stored(spark, path)
-    there = known.join(files(spark, path).select("file"), "file", "left_semi")
-    missing = _undescribed(spark, path)
+def spans(spark: SparkSession, path: str, chosen: Column | None = None) -> DataFrame:
+    """(topic, partition, txn_id, first_offset, last_offset) per file, of all files there are, described or not;
+    of the topic-partitions that ``chosen`` selects. Evaluated once if it is small."""
+    chosen = F.lit(True) if chosen is None else chosen
+    there = files(spark, path).join(_stored(spark, path), "file", "left")
+    there = settle(there.where(F.col("topic").isNull() | (F.col("txn_id").isNotNull() & chosen)))
+    missing, known = there.where(F.col("topic").isNull()).select("file", "full"), there.drop("file", "full")
     if not missing.isEmpty():
-        there = there.unionByName(summarise(read_files(spark, path, missing)))
-    return there.where(F.col("txn_id").isNotNull()).drop("file")
+        known = known.unionByName(summarise(read_files(spark, path, missing)).drop("file"))
+    return known.where(F.col("txn_id").isNotNull() & chosen)
 
 
 def stable_offsets(spans: DataFrame, txns: DataFrame) -> DataFrame:

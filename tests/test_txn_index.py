@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logweave.schema import LOG, TP
-from logweave.sources import isolation, txn_index
+from logweave.sources import isolation, topic_log, txn_index
 from logweave.sources.topic_log import TopicLog
 from tests.test_manifest import T0, rows
 
@@ -35,8 +35,11 @@ def keys(df):
     return rows(df, "topic", "partition", "offset")
 
 
-def test_same_as_from_the_log(spark, made):
+@pytest.mark.parametrize("markers", ["few", "many"])
+def test_same_as_from_the_log(spark, made, monkeypatch, markers):
     log, txns = made
+    if markers == "many":
+        monkeypatch.setattr(topic_log, "bounded", lambda df: None)
     for chosen in ({"topics": ["a b"]}, {"pattern": ".*"}, {"assignment": [("c", 0), ("a b", 1)]}, {"topics": ["none"]}):
         entries = log.read(**chosen)
         assert keys(log.read_committed(txns, **chosen)) == keys(isolation.read(entries, txns, "read_committed"))
