@@ -13,7 +13,7 @@ from logweave.session import new_dir
 from logweave.sources import starts
 from logweave.sources.offset_stream import read_by_offsets
 from logweave.sources.topic_log import TopicLog
-from logweave.streaming import runs, stateful
+from logweave.streaming import runs, slices, stateful
 from logweave.streaming.transactional import TransactionAborted, TxnSink, exactly_once
 from workload import ORACLES, query, scans  # noqa: F401  scans defines two of the oracles
 from workload import fixtures as fx
@@ -159,17 +159,21 @@ def commit_by_size_stream(spark, sf):
     return fx.plain(stateful.whole_cycles(spark.read.parquet(f"{out}/cycles")).drop("topic"))
 
 
-@query(
-    f"""WITH {L}, g AS (SELECT *, value <= 250 AS acked, MIN(CASE WHEN value > 250 THEN log_offset END) OVER (PARTITION BY part_id) AS gap FROM l)
-SELECT part_id, MAX(CASE WHEN acked AND (gap IS NULL OR log_offset < gap) THEN log_offset END) + 1 AS commit_offset, COUNT(*) FILTER (acked AND log_offset > gap) AS deferred_count FROM g GROUP BY part_id"""
-)
-def commit_frontier_stream(spark, sf):
+def _deliveries_and_acks(spark, sf):
     """An acknowledgement follows its delivery after as many hours as the record was slow."""
     rows = fx.deliveries(spark, sf)
     delivered = rows.select(F.lit("delivered").alias("kind"), *TP, "offset", F.col("timestamp").alias("at"))
     later = F.timestamp_micros(F.unix_micros("timestamp") + (F.col("value") * 3600000000).cast("long"))
     acked = rows.where(F.col("value") <= fx.ACK_LIMIT).select(F.lit("acked").alias("kind"), *TP, "offset", later.alias("at"))
-    happened = delivered.unionByName(acked)
+    return delivered.unionByName(acked)
+
+
+@query(
+    f"""WITH {L}, g AS (SELECT *, value <= 250 AS acked, MIN(CASE WHEN value > 250 THEN log_offset END) OVER (PARTITION BY part_id) AS gap FROM l)
+SELECT part_id, MAX(CASE WHEN acked AND (gap IS NULL OR log_offset < gap) THEN log_offset END) + 1 AS commit_offset, COUNT(*) FILTER (acked AND log_offset > gap) AS deferred_count FROM g GROUP BY part_id"""
+)
+def commit_frontier_stream(spark, sf):
+    happened = _deliveries_and_acks(spark, sf)
     out, checkpoint = folder(spark)
 
     def run(path):
@@ -179,6 +183,20 @@ def commit_frontier_stream(spark, sf):
     return fx.plain(stateful.latest_frontier(spark.read.parquet(f"{out}/commits")).drop("topic"))
 
 
+@query(ORACLES["commit_frontier_stream"])
+def commit_frontier_keyed_stream(spark, sf):
+    """The same commits with state per slice of a partition."""
+    happened = _deliveries_and_acks(spark, sf)
+    out, checkpoint = folder(spark)
+
+    def run(path):
+        changes = slices.slice_changes(spark.readStream.schema(happened.schema).parquet(path))
+        return runs.start(changes, slices.keyed_frontier(out), checkpoint, "update")
+
+    replay(happened, "at", run)
+    return fx.plain(stateful.latest_frontier(spark.read.parquet(f"{out}/commits")).drop("topic"))
+
+
 @query(
     f"""WITH {L} SELECT part_id, time_bucket(INTERVAL 6 HOURS, ts) AS period_start, MAX(log_offset) AS log_offset, MAX_BY(ts, log_offset) AS ts FROM l GROUP BY 1, 2"""
 )
