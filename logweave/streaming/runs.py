@@ -23,14 +23,18 @@ def batch_dir(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def batches_in(spark: SparkSession, path: str) -> list[int]:
-    """The batches that have a folder below ``path``, in order. Names only; no file is read."""
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly below ``path``, in order; nothing if it does not exist. No file is read."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not exists(spark, path):
         return []
     found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hadoop)
-    names = [status.getPath().getName() for status in found]
-    return sorted(int(n.partition("=")[2]) for n in names if n.startswith("batch_id="))
+    return sorted(status.getPath().getName() for status in found)
+
+
+def batches_in(spark: SparkSession, path: str) -> list[int]:
+    """The batches that have a folder below ``path``, in order."""
+    return sorted(int(n.partition("=")[2]) for n in names_in(spark, path) if n.startswith("batch_id="))
 
 
 def overwrite(df: DataFrame, path: str, batch_id: int) -> None:

@@ -9,6 +9,7 @@ whose marker says committed is not run again.
     <path>/ends/batch_id=<batch>                           end offset per partition, cumulative
     <path>/offsets/batch_id=<batch>                        consumer offsets up to the batch, cumulative
     <path>/txns/batch_id=<batch>                           the marker
+    <path>/parts, <path>/manifests                         closed batches in few files (``compaction``)
 
 The cumulative tables are versions named after the batch that wrote them. A marker points to the
 version of each that is in force after its batch: its own, or that of the marker before where the batch
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 from logweave.operators.send import assign_offsets, to_entries
 from logweave.plans.ordered import div
 from logweave.plans.small import settle
-from logweave.schema import LOG, LOG_COLUMNS, TP
+from logweave.schema import TP
 from logweave.session import slice_width
 from logweave.sources import isolation
+from logweave.streaming.compaction import Snapshot, closed_batches, compact
 from logweave.streaming.runs import BatchFunction, batch_dir, batches_in, exists, overwrite, remove
 
 
@@ -39,7 +41,8 @@ class TransactionAborted(RuntimeError):
 
 class TxnSink:
     """``ends`` describes entries the destination already has (``topic, partition, end_offset``).
-    ``on_complete(batch_id, committed)`` is called after each commit or abort."""
+    ``on_complete(batch_id, committed)`` is called after each commit or abort. With ``compact_every``
+    closed batches are compacted after a commit as soon as there are that many of them."""
 
     def __init__(
         self,
@@ -48,8 +51,10 @@ class TxnSink:
         name: str = "txn",
         ends: DataFrame | None = None,
         on_complete: Callable[[int, bool], None] | None = None,
+        compact_every: int | None = None,
     ):
         self.spark, self.path, self.name, self.on_complete = spark, path, name, on_complete
+        self.compact_every = compact_every
         self._first_ends = ends
 
     def txn_id(self, batch_id: int) -> str:
@@ -71,12 +76,26 @@ class TxnSink:
         self.write_data(requests, batch_id, order)
         self.send_offsets(offsets, batch_id)
         self.commit(batch_id)
+        if self.compact_every and len(batches_in(self.spark, f"{self.path}/txns")) >= self.compact_every:
+            upto = Snapshot(self.spark, self.path).upto
+            if len(closed_batches(self.spark, self.path, upto)) >= self.compact_every:
+                self.compact()
+
+    def compact(self) -> bool:
+        """Move closed batches into few files; see ``compaction``."""
+        return compact(self.spark, self.path)
 
     # -- versions -----------------------------------------------------------------------------
 
     def _marker_of(self, batch_id: int) -> dict | None:
         path = batch_dir(f"{self.path}/txns", batch_id)
-        return self.spark.read.parquet(path).first().asDict() if exists(self.spark, path) else None
+        if exists(self.spark, path):
+            return self.spark.read.parquet(path).first().asDict()
+        snapshot = Snapshot(self.spark, self.path)
+        if batch_id > snapshot.upto:
+            return None
+        row = snapshot.markers(snapshot.upto).where(F.col("batch_id") == batch_id).first()
+        return row and row.asDict()
 
     def _marker_before(self, batch_id: int) -> dict:
         """The marker of the latest batch before ``batch_id``; without one nothing is in force."""
@@ -155,16 +174,14 @@ class TxnSink:
     # -- reading ------------------------------------------------------------------------------
 
     def txns(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/txns").select("txn_id", "state")
+        return Snapshot(self.spark, self.path).markers().select("txn_id", "state")
 
     def entries(self) -> DataFrame:
-        path = f"{self.path}/data"
-        if not exists(self.spark, path):
-            return self.spark.createDataFrame([], LOG).select(*LOG_COLUMNS)
-        return self.spark.read.schema(LOG).parquet(path).select(*LOG_COLUMNS)
+        return Snapshot(self.spark, self.path).entries()
 
     def read(self, isolation_level: str = "read_committed") -> DataFrame:
-        return isolation.read(self.entries(), self.txns(), isolation_level)
+        snapshot = Snapshot(self.spark, self.path)
+        return isolation.read(snapshot.entries(), snapshot.markers().select("txn_id", "state"), isolation_level)
 
     def committed(self) -> DataFrame:
         """Consumer offsets of committed transactions, the newest per partition."""

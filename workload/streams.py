@@ -284,10 +284,20 @@ def _copy(batch):
     )
 
 
-def _run_transactions(spark, sf, transform):
+def _copied(sink):
+    """Visible records, end of the log and committed source offset per partition."""
+    seen = sink.read().groupBy("partition").agg(
+        F.count(F.lit(1)).alias("visible"), F.countDistinct("offset").alias("distinct_offsets")
+    )
+    ends = sink.entries().groupBy("partition").agg(F.max("offset").alias("end_offset"))
+    committed = sink.committed().select((3 - F.col("partition")).alias("partition"), F.col("commit_offset").alias("source_commit"))
+    return fx.plain(seen.join(ends, "partition").join(committed, "partition"))
+
+
+def _run_transactions(spark, sf, transform, **options):
     """Feed a transactional sink portion by portion until a transaction is aborted."""
     out, checkpoint = folder(spark)
-    sink = TxnSink(spark, out, "copy")
+    sink = TxnSink(spark, out, "copy", **options)
     stopped = []
 
     def run(log):
@@ -311,13 +321,15 @@ def _run_transactions(spark, sf, transform):
 def txn_visible(spark, sf):
     """One transaction per portion: all records visible, one control entry per portion and
     partition, source offsets committed."""
-    sink = _run_transactions(spark, sf, _copy)
-    seen = sink.read().groupBy("partition").agg(
-        F.count(F.lit(1)).alias("visible"), F.countDistinct("offset").alias("distinct_offsets")
-    )
-    ends = sink.entries().groupBy("partition").agg(F.max("offset").alias("end_offset"))
-    committed = sink.committed().select((3 - F.col("partition")).alias("partition"), F.col("commit_offset").alias("source_commit"))
-    return fx.plain(seen.join(ends, "partition").join(committed, "partition"))
+    return _copied(_run_transactions(spark, sf, _copy))
+
+
+@query(ORACLES["txn_visible"])
+def txn_compacted(spark, sf):
+    """The same, with closed transactions moved into parts along the way and at the end."""
+    sink = _run_transactions(spark, sf, _copy, compact_every=1)
+    sink.compact()
+    return _copied(sink)
 
 
 @query(
