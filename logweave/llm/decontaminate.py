@@ -10,7 +10,8 @@ the rare terms and not with all text; ``terms=None`` stores all.
 Edge cases: null texts and texts without words hold nothing and are clean; items without words
 have no window; items shorter than the width are one window; equal windows of several items count
 for each item; rows equal in doc_id and text share their matches; a null doc_id is a document like
-any other; null item_ids are listed as the empty string; empty tables on either side give no hits;
+any other; null item_ids are listed as the empty string; texts of any length are searched whole;
+empty tables on either side give no hits;
 extra columns are ignored by :func:`contamination_report` and kept by :func:`keep_clean`.
 """
 

@@ -8,7 +8,8 @@ until the rest of the target is reached, to the nearest document.
 
 Edge cases: a null text has size 0; a null source is a source, last in order; a source of size 0
 gets target 0 and takes nothing; an empty table gives an empty table; rows equal in id, size and
-text are interchangeable; extra columns are ignored by :func:`plan` and kept by :func:`take`.
+text are interchangeable; texts of any length are counted whole;
+extra columns are ignored by :func:`mix_report` and kept by :func:`mix`.
 """
 
 from __future__ import annotations

@@ -4,8 +4,8 @@ The shard is a function of the key and the number of shards. Growing from ``n``
 moves ``1 - n/m`` of the keys, all of them into the new shards.
 
 Edge cases: a null key hashes like the number ``NULL_KEY``; other than integer keys are hashed
-with ``xxhash64`` first; equal rows get the same shard and different slots; an empty table gives
-an empty table; columns of the input keep their values, and names this operator adds must not be
+with ``xxhash64`` first; equal rows get the same shard and different slots; a null or empty text has
+no bytes of its own and texts of any length are measured whole; an empty table gives an empty table; columns of the input keep their values, and names this operator adds must not be
 among them (``ValueError``).
 """
 

@@ -64,3 +64,12 @@ def test_extra_columns_with_clashing_names(spark, awkward):
         result = step(spark, docs, SF_DIR)
         assert result.count() == plain[name] and set(docs.columns) <= set(result.columns)
         assert {r.n for r in result.collect()} <= {"clash"}
+
+
+def test_shard_columns_of_the_input_give_way(spark, awkward):
+    name, step = corpus_pipeline.STAGES[-1]
+    plain = step(spark, awkward, SF_DIR)
+    docs = awkward.withColumns({"shard": F.lit("mine"), "slot": F.lit(-1)})
+    result = step(spark, docs, SF_DIR)
+    assert sorted(result.columns) == sorted(plain.columns)
+    assert sorted(map(str, result.select("doc_id", "shard").collect())) == sorted(map(str, plain.select("doc_id", "shard").collect()))
