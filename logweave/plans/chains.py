@@ -172,6 +172,12 @@ def _apply_runs(batches: list[pa.RecordBatch], names: list[str], keys: list[str]
     return pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
 
+def dealt(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``rows`` with equal ``names`` in one partition. Dealt by a hash column of their own: a repartition by the
+    keys of the join below is dropped as done, and once that join is broadcast, rows stay where they were read."""
+    return rows.withColumn("__deal", F.xxhash64(*names)).repartition("__deal").drop("__deal")
+
+
 def widest(maps: DataFrame, by: Sequence[str]) -> int:
     """The largest number of blocks that a group of ``maps`` extends over."""
     spans = maps.groupBy(*by).agg((F.max("__block") - F.min("__block") + 1).alias("n"))
@@ -253,7 +259,7 @@ def _entered(maps: DataFrame, keys: list[T.StructField], near: int, far: int, fi
             found.append((*group[:-1], block, None, after, seen))
             yield rows()
 
-    return maps.repartition(*parent).sortWithinPartitions(*names, "__entry").mapInArrow(walk, T.StructType(fields))
+    return dealt(maps, parent).sortWithinPartitions(*names, "__entry").mapInArrow(walk, T.StructType(fields))
 
 
 def hits(
@@ -322,8 +328,7 @@ def hits(
     extra = [f for f in kept.schema.fields if f.name in keep]
     schema = T.StructType([*keys, *extra, *longs(value), T.StructField("is_hit", T.BooleanType()), *longs("hits_before", "last_hit")])
     return (
-        kept.join(state, names, "left")
-        .repartition(*names)
+        dealt(kept.join(state, names, "left"), names)
         .sortWithinPartitions(*names, "__v")
         .mapInArrow(lambda batches: _by_block(batches, names, [*by, *keep], play), schema)
     )
