@@ -32,7 +32,7 @@ SCHEMA = (
 
 
 def _place() -> Column:
-    return F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+/[^/]+)$", 1)
+    return F.substring_index("_metadata.file_path", "/", -3)
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:
