@@ -41,7 +41,7 @@ def in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", good_documents),
-    ("shingle near-dedup", one_of_each_group),
+    ("simhash and shingle near-dedup", one_of_each_group),
     ("benchmark decontamination", without_benchmark),
     ("source mixing", mixed_sources),
     ("sharding", in_shards),

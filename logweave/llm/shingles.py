@@ -1,12 +1,14 @@
 """Groups of texts that share most of their word shingles, exactly.
 
 Two texts are near copies if the Jaccard similarity of their sets of ``WIDTH``-word shingles is at
-least ``SHARE``; groups are the components of near copies. Candidates come from a prefix filter, which
-loses no pair: with all shingles in one fixed order, two sets that similar share one of their
+least ``SHARE``; groups are the components of near copies. First SimHash fingerprints of the sets are compared
+bit-sliced (``simhash``): spanning links of those within ``simhash.RADIUS`` bits join most copies, after an exact
+comparison. That many bits do not reach all pairs of ``SHARE``, so further candidates come from a prefix filter,
+which loses no pair: with all shingles in one fixed order, two sets that similar share one of their
 first ``n - ceil(SHARE * n) + 1`` shingles. The order puts shingles that are frequent in a sample last; it
 decides how many candidates there are and nothing else. Every candidate is compared shingle by shingle.
 
-Texts of a shared shingle are first compared with two of them only, which joins dense groups at once.
+Texts of a shared shingle that are still apart are first compared with two of them only, which joins dense groups at once.
 Then, turn by turn, every text meets the one text of another component whose counts of shingles by
 ``MARKS`` ranges of hashes are nearest to its own, and what is similar joins, until a turn joins
 nothing. Only then all pairs are compared that are still apart although their counts allow similarity.
@@ -32,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logweave.llm import simhash
 from logweave.llm.common import broadcast_if_small, python_ready, row_key, small_batches, stage
 from logweave.llm.components import connect
 
@@ -79,6 +82,11 @@ def marks(items: np.ndarray) -> bytes:
     return np.minimum(np.bincount((items >> np.uint64(57)).astype(np.int64), minlength=MARKS), 255).astype(np.uint8).tobytes()
 
 
+def fingerprint(items: np.ndarray) -> int:
+    """The SimHash of a set: a bit is set where more than half of its hashes have it."""
+    return int(simhash.majority(items).view("<i8")[0])
+
+
 def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -94,7 +102,8 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(rows: DataFrame) -> DataFrame:
-    """(id, fp, n, prefix, marks) of rows (id, row, text): a hash of the set, its size, its first shingles."""
+    """(id, fp, n, prefix, marks, print) of rows (id, row, text): a hash of the set, its size, its first
+    shingles, its fingerprint."""
     python_ready(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows))
 
@@ -105,9 +114,9 @@ def sketches(rows: DataFrame) -> DataFrame:
             values = np.concatenate([np.zeros(0, np.uint64), *firsts]).view(np.int64)
             lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, firsts)]).astype(np.int32), pa.array(values))
             fp = np.fromiter((xxhash.xxh64_intdigest(s.tobytes()) for s in sets), np.uint64, len(sets))
-            yield pa.record_batch([batch.column(0), pa.array(fp.view(np.int64)), pa.array([*map(len, sets)], pa.int64()), lists, pa.array([*map(marks, sets)], pa.binary())], ["id", "fp", "n", "prefix", "marks"])
+            yield pa.record_batch([batch.column(0), pa.array(fp.view(np.int64)), pa.array([*map(len, sets)], pa.int64()), lists, pa.array([*map(marks, sets)], pa.binary()), pa.array([*map(fingerprint, sets)], pa.int64())], ["id", "fp", "n", "prefix", "marks", "print"])
 
-    return rows.select("id", "text").mapInArrow(run, f"id {dict(rows.dtypes)['id']}, fp long, n long, prefix array<long>, marks binary")
+    return rows.select("id", "text").mapInArrow(run, f"id {dict(rows.dtypes)['id']}, fp long, n long, prefix array<long>, marks binary, print long")
 
 
 def possible(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -210,18 +219,36 @@ def candidates(member: DataFrame, nearest: bool) -> DataFrame:
     return tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long").distinct()
 
 
+def linked_prints(distinct: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets that span the groups of fingerprints within ``simhash.RADIUS`` bits: the sets of a
+    fingerprint with one of them, and these along the links of the fingerprints."""
+    heads = stage(distinct.groupBy("print").agg(F.min("fp").alias("head")), "prints")
+    of = lambda end: heads.select(F.col("print").alias(end), F.col("head").alias(f"head_{end}"))
+    near = simhash.links(heads.select(F.col("print").alias("fp"))).distinct().join(of("a"), "a").join(of("b"), "b")
+    own = distinct.join(heads, "print").where("fp <> head")
+    return (
+        near.select(F.least("head_a", "head_b").alias("a"), F.greatest("head_a", "head_b").alias("b"))
+        .unionAll(own.select(F.col("head").alias("a"), F.col("fp").alias("b")))
+        .distinct()
+    )
+
+
 def links(distinct: DataFrame, rows: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all similar sets of ``distinct`` (fp, first, n, prefix, marks)."""
-    entries = distinct.select("fp", "n", F.explode("prefix").alias("token"))
-    shared = entries.groupBy("token").agg(F.count("*").alias("texts"), F.min("fp").alias("low"), F.max("fp").alias("high")).where("texts > 1")
-    member = stage(entries.join(shared.drop("texts"), "token"), "members")
-    hubs = member.select("fp", F.explode(F.array("low", "high")).alias("hub")).where("fp <> hub")
-    met = hubs.select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
+    """Links (a, b) that connect all similar sets of ``distinct`` (fp, first, n, prefix, marks, print)."""
+    tested = stage(possible(linked_prints(distinct), distinct), "print-pairs")
+    found = verified(tested, distinct, rows)
+    named = stage(connect(found).withColumnRenamed("node", "fp"), "print-groups")
+    entries = distinct.join(named, "fp", "left").select("fp", "n", F.coalesce("component", "fp").alias("component"), F.explode("prefix").alias("token"))
+    some = F.struct("fp", "component")
+    shared = entries.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.min(some).alias("low"), F.max(some).alias("high"))
+    member = stage(entries.join(shared.where("c <> d").drop("c", "d"), "token"), "members")
+    hubs = member.select("fp", "component", F.explode(F.array("low", "high")).alias("hub")).where("component <> hub.component")
+    met = hubs.select(F.least("fp", "hub.fp").alias("a"), F.greatest("fp", "hub.fp").alias("b")).distinct()
     met = stage(possible(met, distinct), "hub-pairs")
-    found, tested, nearest = verified(met, distinct, rows), met, True
+    found, tested, nearest = found.unionAll(verified(met, distinct, rows)), tested.unionAll(met), True
     while True:
         named = connect(found).withColumnRenamed("node", "fp")
-        labelled = member.join(named, "fp", "left").select("token", "fp", "n", F.coalesce("component", "fp").alias("component"))
+        labelled = member.drop("component").join(named, "fp", "left").select("token", "fp", "n", F.coalesce("component", "fp").alias("component"))
         apart = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         member = stage(labelled.join(apart.select("token"), "token", "left_semi"), "apart")
         near = stage(candidates(member.join(distinct.select("fp", "marks"), "fp"), nearest), "near")
@@ -247,7 +274,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     rank = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.col("__row").alias("row"))
     rows = named.select(rank.alias("id"), F.col("__row").alias("row"), F.col(text).cast("binary").alias("text"))
     prints = stage(sketches(rows), "sketches")
-    distinct = stage(prints.groupBy("fp").agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("marks").alias("marks")), "distinct-sets")
+    distinct = stage(prints.groupBy("fp").agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("marks").alias("marks"), F.first("print").alias("print")), "distinct-sets")
     group = connect(links(distinct, rows)).withColumnRenamed("node", "fp")
     least = distinct.select("fp", "first").join(group, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first"))
     stays = stage(least.select(F.col("first.row").alias("__row")).distinct(), "stays")

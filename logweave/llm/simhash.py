@@ -50,12 +50,16 @@ def fingerprint(text: bytes | None, width: int = SHINGLE, seed: int = SEED) -> i
     first, last = starts[: len(items) - width + 1].tolist(), (ends[width - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(first, last)), np.uint64, len(first))
+    return int(majority(hashes).view("<u8")[0])
+
+
+def majority(hashes: np.ndarray) -> np.ndarray:
+    """The bits that more than half of the hashes have, as eight bytes."""
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         part = hashes[i : i + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
         counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * counts > len(hashes), bitorder="little")
-    return int(bits.view("<u8")[0])
+    return np.packbits(2 * counts > len(hashes), bitorder="little")
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

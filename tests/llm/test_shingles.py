@@ -98,3 +98,22 @@ def test_awkward(awkward, empty):
     kept = shingles.keep_one(docs)
     assert kept.columns == docs.columns and kept.count() == len({frozenset(plain_set(r.text)) for r in docs.collect()})
     assert shingles.keep_one(empty).count() == 0
+
+
+def test_fingerprints_link_copies_first(spark, monkeypatch):
+    """Copies with nearly equal fingerprints are joined by the bit-sliced comparison; no rule but similarity joins them."""
+    base = [f"word{i}" for i in range(400)]
+    texts = [" ".join([*base[:i], f"other{i}", *base[i + 1 :]]) for i in range(0, 400, 40)] + ["quite another text of some words"]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, kept = [], shingles.simhash.links
+    monkeypatch.setattr(shingles.simhash, "links", lambda prints, *rest: seen.append(kept(prints, *rest)) or seen[-1])
+    assert sorted(r.doc_id for r in shingles.keep_one(docs).collect()) == plain_kept(rows) == [0, 10]
+    assert len(seen) == 1 and seen[0].count() > 0
+    values = {r.id: r.print for r in shingles.sketches(docs.select(F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("row"), "text")).collect()}
+    for i, text in rows:
+        items = shingles.shingles(text.encode())
+        bits = sum((2 * sum(int(x) >> k & 1 for x in items) > len(items)) << k for k in range(64))
+        assert values[i] % (1 << 64) == bits
+    pairs = shingles.linked_prints(spark.createDataFrame([(1, 0), (5, 0), (7, 3), (9, -1)], "fp long, print long"))
+    assert sorted((r.a, r.b) for r in pairs.collect()) == [(1, 5), (1, 7)]
