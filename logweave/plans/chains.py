@@ -109,11 +109,13 @@ def replay(values: np.ndarray, entry: int | None, near: int, far: int) -> np.nda
 
 
 def _run_starts(columns: list[pa.Array]) -> np.ndarray:
-    """Where a run of equal keys begins; compares whole columns, makes no Python objects."""
+    """Where a run of equal keys begins, nulls being equal; compares whole columns, makes no Python objects."""
     changed = np.zeros(len(columns[0]), dtype=bool)
     changed[0] = True
     for column in columns:
-        different = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1))
+        this, last = column.slice(1), column.slice(0, len(column) - 1)
+        # unknown where one side or both are null
+        different = pc.coalesce(pc.not_equal(this, last), pc.not_equal(pc.is_null(this), pc.is_null(last)))
         changed[1:] |= different.to_numpy(zero_copy_only=False)
     return np.flatnonzero(changed)
 
@@ -276,14 +278,15 @@ def hits(
 
     ``nodes`` has one row per distinct ``(by, value)`` with an integer value. ``first_hits``:
     the first value is itself a hit; otherwise it only anchors the chain. ``carry`` (``by``,
-    ``after``) continues from an earlier anchor. Returns ``by``, ``keep``, ``value``, ``is_hit``,
+    ``after``) continues from an earlier anchor. Null values drop out; a group whose name has a null has no hits,
+    as its rows equal nothing. Returns ``by``, ``keep``, ``value``, ``is_hit``,
     ``hits_before`` and ``last_hit`` (the latest hit or anchor before this value, or null).
     """
     spark = nodes.sparkSession
     ship_package(spark)
     by = list(by)
     length = block_length(spark, far)
-    kept = nodes.select(*by, *keep, F.col(value).cast("long").alias("__v")).withColumn("__block", div(F.col("__v"), length))
+    kept = nodes.select(*by, *keep, F.col(value).cast("long").alias("__v")).where("__v is not null").withColumn("__block", div(F.col("__v"), length))
     blocked = kept.drop(*keep)
     keys = [f for f in blocked.schema.fields if f.name in by]
     names = [*by, "__block"]

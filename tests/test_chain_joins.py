@@ -42,3 +42,16 @@ def test_a_block_stays_whole_when_its_join_is_broadcast(joined_late, monkeypatch
     got = chains.hits(nodes, ["g"], "v", 0, 50, False).collect()
     assert {(r.g, r.v): (r.is_hit, r.hits_before, r.last_hit) for r in got} == expected
     assert len(got) == n
+
+
+def test_null_groups_and_values(narrow, monkeypatch):
+    """Rows without a group or value harm no other chain."""
+    monkeypatch.setattr(chains, "MAX_BLOCK", 64)
+    monkeypatch.setattr(chains, "FAN", 2)
+    values = list(range(0, 1500, 7))
+    rows = [("a", v) for v in values] + [(None, v) for v in values] + [("a", None), ("b", None), (None, None), ("c", 5)]
+    got = chains.hits(narrow.createDataFrame(rows, "g string, v long"), ["g"], "v", 0, 50, False).collect()
+    named = {(r.g, r.v): (r.is_hit, r.hits_before, r.last_hit) for r in got if r.g is not None}
+    expected = {(g, v): r for g, vs in (("a", values), ("c", [5])) for v, r in walk(vs, 0, 50, False).items()}
+    assert named == expected
+    assert sorted(r.v for r in got if r.g is None) == values and not any(r.is_hit for r in got if r.g is None)
