@@ -237,18 +237,19 @@ def links(distinct: DataFrame, rows: DataFrame) -> DataFrame:
     """Links (a, b) that connect all similar sets of ``distinct`` (fp, first, n, prefix, marks, print)."""
     tested = stage(possible(linked_prints(distinct), distinct), "print-pairs")
     found = verified(tested, distinct, rows)
-    named = stage(connect(found).withColumnRenamed("node", "fp"), "print-groups")
-    entries = distinct.join(named, "fp", "left").select("fp", "n", F.coalesce("component", "fp").alias("component"), F.explode("prefix").alias("token"))
-    some = F.struct("fp", "component")
-    shared = entries.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.min(some).alias("low"), F.max(some).alias("high"))
-    member = stage(entries.join(shared.where("c <> d").drop("c", "d"), "token"), "members")
-    hubs = member.select("fp", "component", F.explode(F.array("low", "high")).alias("hub")).where("component <> hub.component")
+    named = broadcast_if_small(stage(connect(found).withColumnRenamed("node", "fp"), "print-groups"))
+    entries = distinct.select("fp", "n", F.explode("prefix").alias("token"))
+    group = F.coalesce("component", "fp")
+    some = F.struct(group.alias("component"), "fp")
+    shared = entries.join(named, "fp", "left").groupBy("token").agg(F.min(some).alias("low"), F.max(some).alias("high"))
+    member = stage(entries.join(shared.where("low.component <> high.component"), "token"), "members")
+    hubs = member.select("fp", F.explode(F.array("low", "high")).alias("hub")).join(named, "fp", "left").where(group != F.col("hub.component"))
     met = hubs.select(F.least("fp", "hub.fp").alias("a"), F.greatest("fp", "hub.fp").alias("b")).distinct()
     met = stage(possible(met, distinct), "hub-pairs")
     found, tested, nearest = found.unionAll(verified(met, distinct, rows)), tested.unionAll(met), True
     while True:
         named = connect(found).withColumnRenamed("node", "fp")
-        labelled = member.drop("component").join(named, "fp", "left").select("token", "fp", "n", F.coalesce("component", "fp").alias("component"))
+        labelled = member.join(named, "fp", "left").select("token", "fp", "n", F.coalesce("component", "fp").alias("component"))
         apart = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         member = stage(labelled.join(apart.select("token"), "token", "left_semi"), "apart")
         near = stage(candidates(member.join(distinct.select("fp", "marks"), "fp"), nearest), "near")
