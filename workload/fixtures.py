@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from logweave.functions.codec import encode_layout, int_to_bytes, text_to_bytes
 from logweave.functions.headers import header
 from logweave.operators.records import expand
-from logweave.operators.send import assign_offsets, to_entries
+from logweave.operators.send import assign_offsets
 from logweave.plans.ordered import div
-from logweave.schema import TP
+from logweave.schema import LOG_COLUMNS, TP
 from logweave.session import new_dir, slice_width
 from logweave.sources.topic_log import TopicLog
 
@@ -62,19 +62,13 @@ def _event_requests(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id").alias("seq"),
         user_partition().alias("partition"),
         F.col("ts").alias("timestamp"),
-        int_to_bytes(F.col("user_id")).alias("key"),
+        F.col("user_id").alias("key_id"),
         text_to_bytes(F.col("props")).alias("value"),
-        F.array(
-            header("trace", F.col("event_id")), header("h", F.lit("a")), header("trace", F.col("event_id") + 1)
-        ).alias("headers"),
-        F.when(F.col("event_type") != "signup", F.concat(F.lit("t"), div(F.col("event_id"), 500).cast("string"))).alias("txn_id"),
-        F.struct(F.col("event_id").alias("id"), F.col("value").alias("value"), F.col("event_type").alias("kind")).alias("correlation"),
-        "event_type",
-    )
-    both = expand(
-        source, {"topic": F.lit("events")}, {"topic": F.concat(F.lit("ev-"), "event_type"), "txn_id": F.lit(None).cast("string")}
+        F.col("value").alias("measure"),
+        F.col("event_type").alias("kind"),
     )
-    return both.drop("event_type")
+    first = {"topic": F.lit("events"), "in_txn": F.col("kind") != "signup"}
+    return expand(source, first, {"topic": F.concat(F.lit("ev-"), "kind"), "in_txn": F.lit(False)}).withColumn("traced", F.lit(True))
 
 
 def people(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,24 +90,37 @@ def _people_requests(spark: SparkSession, sf: str) -> DataFrame:
         F.col("id").cast("long").alias("seq"),
         F.pmod("id", F.lit(4)).cast("int").alias("partition"),
         F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("timestamp"),
-        int_to_bytes(F.col("id")).alias("key"),
+        F.col("id").cast("long").alias("key_id"),
         F.when(F.col("balance") < 0, F.substring(data, 1, 9)).otherwise(data).alias("value"),
         F.lit("people").alias("topic"),
-        F.struct(F.col("id").cast("long").alias("id"), F.col("balance").alias("value"), F.col("first_name").alias("kind")).alias("correlation"),
+        F.col("balance").alias("measure"),
+        F.col("first_name").alias("kind"),
+        F.lit(False).alias("in_txn"),
+        F.lit(False).alias("traced"),
     )
 
 
+def _in_full(sent: DataFrame) -> DataFrame:
+    """Entries and send results of narrow requests. What follows from a row alone is made here, after
+    the shuffle and both sorts: an array of headers is larger than all the rest of a row."""
+    headers = F.array(header("trace", F.col("seq")), header("h", F.lit("a")), header("trace", F.col("seq") + 1))
+    return sent.withColumns(
+        {
+            "key": int_to_bytes(F.col("key_id")),
+            "headers": F.when(F.col("traced"), headers),
+            "txn_id": F.when(F.col("in_txn"), F.concat(F.lit("t"), div(F.col("seq"), 500).cast("string"))),
+            "timestampType": F.lit(0),
+            "is_control": F.lit(False),
+            # send results are kept next to the entries; readers of the log never select them
+            "correlation": F.struct(F.col("seq").alias("id"), F.col("measure").alias("value"), "kind"),
+        }
+    ).select(*LOG_COLUMNS, "correlation")
+
+
 def _write_log(spark: SparkSession, sf: str, path: str) -> None:
-    requests = (
-        _event_requests(spark, sf)
-        .unionByName(_people_requests(spark, sf), allowMissingColumns=True)
-        .withColumn("error", F.lit(None).cast("string"))
-    )
-    sent = assign_offsets(requests)
-    # send results are kept next to the entries; readers of the log never select them
-    entries = to_entries(sent).columns
-    rows = sent.withColumns({"timestampType": F.lit(0), "is_control": F.lit(False)}).select(*entries, "correlation")
-    rows.sortWithinPartitions(*TP, "offset").write.partitionBy(*TP).parquet(path)
+    requests = _event_requests(spark, sf).unionByName(_people_requests(spark, sf))
+    sent = assign_offsets(requests.withColumn("error", F.lit(None).cast("string")))
+    _in_full(sent.sortWithinPartitions(*TP, "offset")).write.partitionBy(*TP).parquet(path)
     TopicLog(spark, path).describe()
 
 
