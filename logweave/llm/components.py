@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import stage
+from logweave.llm.common import drop, drop_shuffles, stage
 
 
 def spanning_labels(n: int, pairs) -> np.ndarray:
@@ -42,10 +42,12 @@ def connect(links: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stage(small.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "links")
+        before, edges = edges, stage(small.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "links")
+        drop(before)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
         if now == state:
             break
         state = now
+    drop_shuffles(links.sparkSession)
     stars = edges.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
     return stars.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm import simhash
-from logweave.llm.common import broadcast_if_small, python_ready, row_key, small_batches, stage
+from logweave.llm.common import broadcast_if_small, drop, drop_shuffles, python_ready, row_key, small_batches, stage
 from logweave.llm.components import connect
 
 WIDTH = 5
@@ -149,12 +149,15 @@ def verified(pairs: DataFrame, distinct: DataFrame, rows: DataFrame) -> DataFram
     ends = pairs.select(F.col("a").alias("fp")).unionAll(pairs.select("b")).distinct()
     wanted = stage(distinct.join(ends, "fp", "left_semi").select("fp", F.col("first.row").alias("row")), "wanted")
     texts = rows.select("row", "text").join(broadcast_if_small(wanted, F.octet_length("row")), "row").select("fp", "text")
-    sets = stage(texts.mapInArrow(sets_of, "fp long, items binary"), "sets")
+    sets = fetched = stage(texts.mapInArrow(sets_of, "fp long, items binary"), "sets")
     if not sets.groupBy("fp").count().where("count > 1").isEmpty():
         sets = sets.dropDuplicates(["fp"])
     of = lambda end: sets.select(F.col("fp").alias(end), F.col("items").alias(f"items_{end}"))
     met = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "items_a", "items_b")
-    return stage(met.mapInArrow(compare, "a long, b long"), "similar")
+    found = stage(met.mapInArrow(compare, "a long, b long"), "similar")
+    drop(wanted, fetched)
+    drop_shuffles(rows.sparkSession)
+    return found
 
 
 def near_in_tile(left: np.ndarray, right: np.ndarray, n: np.ndarray, component: np.ndarray, seen: np.ndarray, nearest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -233,26 +236,38 @@ def linked_prints(distinct: DataFrame) -> DataFrame:
     )
 
 
+def members(entries: DataFrame) -> DataFrame:
+    """The rows of ``entries`` (token, fp, n, component) whose token stands in several components; of tokens that the
+    same sets share, one is enough. Entries are shuffled once, for counting and for the choice."""
+    dealt = entries.where("token is not null").repartition("token")
+    shared = dealt.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("fp", "n")).alias("sets")
+    )
+    chosen = shared.where("low <> high").groupBy("low", "high", "m", "sets").agg(F.min("token").alias("token")).select("token")
+    return dealt.join(chosen.hint("shuffle_hash"), "token", "left_semi")
+
+
 def links(distinct: DataFrame, rows: DataFrame) -> DataFrame:
     """Links (a, b) that connect all similar sets of ``distinct`` (fp, first, n, prefix, marks, print)."""
     tested = stage(possible(linked_prints(distinct), distinct), "print-pairs")
     found = verified(tested, distinct, rows)
     named = broadcast_if_small(stage(connect(found).withColumnRenamed("node", "fp"), "print-groups"))
-    entries = distinct.select("fp", "n", F.explode("prefix").alias("token"))
-    group = F.coalesce("component", "fp")
-    some = F.struct(group.alias("component"), "fp")
-    shared = entries.join(named, "fp", "left").groupBy("token").agg(F.min(some).alias("low"), F.max(some).alias("high"))
-    member = stage(entries.join(shared.where("low.component <> high.component"), "token"), "members")
-    hubs = member.select("fp", F.explode(F.array("low", "high")).alias("hub")).join(named, "fp", "left").where(group != F.col("hub.component"))
+    entries = distinct.select("fp", "n", F.explode("prefix").alias("token")).join(named, "fp", "left")
+    member = stage(members(entries.select("token", "fp", "n", F.coalesce("component", "fp").alias("component"))), "members")
+    some = F.struct("component", "fp")
+    ends = member.groupBy("token").agg(F.min(some).alias("low"), F.max(some).alias("high"))
+    hubs = member.join(ends, "token").select("fp", "component", F.explode(F.array("low", "high")).alias("hub")).where("component <> hub.component")
     met = hubs.select(F.least("fp", "hub.fp").alias("a"), F.greatest("fp", "hub.fp").alias("b")).distinct()
     met = stage(possible(met, distinct), "hub-pairs")
     found, tested, nearest = found.unionAll(verified(met, distinct, rows)), tested.unionAll(met), True
+    active = member.select("token", "fp", "n")
     while True:
         named = connect(found).withColumnRenamed("node", "fp")
-        labelled = member.join(named, "fp", "left").select("token", "fp", "n", F.coalesce("component", "fp").alias("component"))
+        labelled = active.join(named, "fp", "left").select("token", "fp", "n", F.coalesce("component", "fp").alias("component"))
         apart = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        member = stage(labelled.join(apart.select("token"), "token", "left_semi"), "apart")
+        before, member = member, stage(labelled.join(apart.select("token"), "token", "left_semi"), "apart")
         near = stage(candidates(member.join(distinct.select("fp", "marks"), "fp"), nearest), "near")
+        drop(before)
         if near.isEmpty():
             return found
         met = stage(near.join(tested, ["a", "b"], "left_anti"), "other-pairs")
@@ -265,7 +280,7 @@ def links(distinct: DataFrame, rows: DataFrame) -> DataFrame:
         nearest = joined
         # whoever has a text to meet is in a pair; the others have none in later turns either
         meets = near.select(F.col("a").alias("fp")).unionAll(near.select("b")).distinct()
-        member = member.select("token", "fp", "n").join(meets, "fp", "left_semi")
+        active = member.select("token", "fp", "n").join(meets, "fp", "left_semi")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -276,12 +291,15 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     rows = named.select(rank.alias("id"), F.col("__row").alias("row"), F.col(text).cast("binary").alias("text"))
     prints = stage(sketches(rows), "sketches")
     distinct = stage(prints.groupBy("fp").agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("marks").alias("marks"), F.first("print").alias("print")), "distinct-sets")
+    several = stage(prints.groupBy(F.col("id.row").alias("__row")).count().where("count > 1").select("__row"), "several")
+    drop(prints)
     group = connect(links(distinct, rows)).withColumnRenamed("node", "fp")
     least = distinct.select("fp", "first").join(group, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first"))
     stays = stage(least.select(F.col("first.row").alias("__row")).distinct(), "stays")
+    repeated = stage(several.join(stays, "__row", "left_semi"), "repeated")
+    drop(distinct, several)
+    drop_shuffles(docs.sparkSession)
     kept = named.join(broadcast_if_small(stays, F.octet_length("__row")), "__row", "left_semi")
-    repeated = prints.groupBy(F.col("id.row").alias("__row")).count().where("count > 1").select("__row")
-    repeated = stage(repeated.join(stays, "__row", "left_semi"), "repeated")
     if not repeated.isEmpty():
         once = kept.join(repeated, "__row", "left_semi").dropDuplicates(["__row"])
         kept = kept.join(repeated, "__row", "left_anti").unionByName(once)
