@@ -39,7 +39,8 @@ def fill(sources: DataFrame, max_epochs: int) -> DataFrame:
     left, weight = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.sum("weight")).first()
     total, clamped = left, 0
     while True:
-        share = F.col("weight") * F.lit(left) / F.lit(weight)
+        # A literal is as wide as its value: below 2^31 words the product with a weight would be an int too.
+        share = F.col("weight") * F.lit(left).cast("long") / F.lit(weight)
         full = share > cap
         count, caps, rest = sources.agg(
             F.count_if(full), F.coalesce(F.sum(F.when(full, cap)), F.lit(0)), F.sum(F.when(~full, F.col("weight")))

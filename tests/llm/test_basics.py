@@ -78,6 +78,21 @@ def test_mixing(spark, awkward):
     assert sorted(map(str, rows)) == sorted(map(str, mixing.mix_report(awkward.repartition(5), [50, 2, 1], 3).collect()))
 
 
+def test_mixing_of_billions_of_words(spark):
+    """Sums below 2^31 whose product with a weight is above."""
+    rows = [(i, 1_000_000 * (1 + i % 7), "abc"[i % 3]) for i in range(300)]
+    sized, weights = spark.createDataFrame(rows, "doc_id long, size long, source string"), [5, 2, 1]
+    sizes = {s: sum(n for _, n, own in rows if own == s) for s in "abc"}
+    targets = water(sizes, dict(zip("abc", weights)), 3)
+    assert sum(sizes.values()) < 2**31 < 5 * sum(sizes.values()) and max(targets.values()) > 2**29
+    found, taken = mixing.repetitions(sized, weights, 3, 0).collect(), Counter()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(targets[r.source])
+        taken[r.source] += r.size * r.copies
+    assert all(abs(taken[s] - targets[s]) <= 7_000_000 for s in sizes)
+
+
 def test_mixing_whole_rows(awkward, empty):
     mixed = mixing.mix(awkward, [1], 3)
     assert mixed.columns == awkward.columns
