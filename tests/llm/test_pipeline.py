@@ -10,8 +10,8 @@ from test_decontaminate import plain as plain_contamination
 from test_shingles import plain_kept
 
 import corpus_pipeline
-from logweave.llm import queries
-from logweave.llm.common import stage
+from logweave.llm import mixing, queries
+from logweave.llm.common import size_in_words, stage
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -51,6 +51,15 @@ def test_stages(spark):
     assert sorted(map(str, corpus_pipeline.run(spark, SF_DIR).drop("slot").collect())) == sorted(str(r) for r in spark.createDataFrame(last).drop("slot").collect())
 
 
+def test_mixed_sources_of_billions_of_words(spark, awkward, monkeypatch):
+    """The same rows when every text counts as 16,384 times as many words: sums stay below 2^31, products with a weight do not."""
+    few = Counter(map(str, corpus_pipeline.mixed_sources(spark, awkward, SF_DIR).collect()))
+    monkeypatch.setattr(mixing, "size_in_words", lambda text: size_in_words(text) * 16_384)
+    total = awkward.agg(F.sum(mixing.size_in_words(F.col("text")))).first()[0]
+    assert total < 2**31 < 5 * total
+    assert few == Counter(map(str, corpus_pipeline.mixed_sources(spark, awkward, SF_DIR).collect())) and few
+
+
 def test_awkward_and_empty(spark, awkward, empty):
     for docs in (awkward, empty):
         for _, step in corpus_pipeline.STAGES:
